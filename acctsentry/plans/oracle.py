@@ -191,3 +191,246 @@ feat2 AS (
 
 def r6(expr: str, alias: str | None = None) -> str:
     return f"round({expr}, 6) AS {alias or expr}"
+
+
+# ---------------------------------------------------------------------------
+# Statements per registered query
+# ---------------------------------------------------------------------------
+COUNT_OR_FLAG = {
+    "flag_amount", "transfer_type_encoded", "channel_encoded", "hour", "day_of_week", "is_weekend",
+    "is_night", "recent_burst", "user_multiple_accounts_flag", "geo_anomaly_flag", "is_new_beneficiary",
+    "weekly_txn_count", "monthly_txn_count", "hourly_count", "daily_count", "txn_count_30s",
+    "txn_count_10min", "txn_count_1hour", "user_txn_frequency", "beneficiary_txn_count_30d",
+}
+INT_COLS = {"flag_amount", "transfer_type_encoded", "channel_encoded", "hour", "day_of_week", "is_weekend",
+            "is_night", "recent_burst", "user_multiple_accounts_flag", "geo_anomaly_flag", "is_new_beneficiary"}
+
+
+def _col(c: str) -> str:
+    if c in INT_COLS:
+        return f"CAST({c} AS INTEGER) AS {c}"
+    if c in COUNT_OR_FLAG or c == "num_accounts":
+        return f"CAST({c} AS BIGINT) AS {c}"
+    if c in ("seq",):
+        return "seq"
+    if c == "last_txn_time":
+        return "last_txn_time"
+    return f"round(CAST({c} AS DOUBLE), 6) AS {c}"
+
+
+def feature_select(view: str, cols: list[str]) -> str:
+    src = TXN_EVENTS if view == "events" else TXN_LINEITEM
+    return "WITH " + _features_ctes(src) + " SELECT " + ", ".join(_col(c) for c in cols) + " FROM feat2"
+
+
+MODEL_FEATURES_SQL = None  # filled lazily from the schema module
+
+
+def _model_features() -> list[str]:
+    from acctsentry.schema import MODEL_FEATURES
+
+    return MODEL_FEATURES
+
+
+def matrix_cte() -> str:
+    cols = ", ".join(f"COALESCE(CAST({f} AS DOUBLE), 0.0) AS {f}" for f in _model_features())
+    return "WITH " + _features_ctes(TXN_EVENTS) + f", mx AS (SELECT seq, {cols} FROM feat2)"
+
+
+def scaler_cte() -> str:
+    parts = []
+    for i, f in enumerate(_model_features()):
+        parts.append(
+            f"SELECT {i} AS position, '{f}' AS feature, avg({f}) AS mean, var_pop({f}) AS var, count(*) AS n FROM mx"
+        )
+    eps = "2.220446049250313e-16"
+    return (
+        matrix_cte()
+        + ", sc0 AS (" + " UNION ALL ".join(parts) + ")"
+        + f", sc AS (SELECT position, feature, mean, CASE WHEN var <= n * {eps} * var + pow(n * mean * {eps}, 2)"
+        + " THEN 1.0 ELSE sqrt(var) END AS scale FROM sc0)"
+    )
+
+
+def scaled_features_sql() -> str:
+    feats = _model_features()
+    joins = []
+    cols = []
+    for i, f in enumerate(feats):
+        cols.append(f"round((mx.{f} - s{i}.mean) / s{i}.scale, 6) AS {f}")
+        joins.append(f"CROSS JOIN (SELECT mean, scale FROM sc WHERE position = {i}) s{i}")
+    return scaler_cte() + " SELECT mx.seq, " + ", ".join(cols) + " FROM mx " + " ".join(joins)
+
+
+RULES_CTE = """, rules AS (
+  SELECT f.*,
+    greatest(user_avg_amount + COALESCE(CASE TransferType WHEN 'S' THEN 2.0 WHEN 'Q' THEN 2.5 WHEN 'L' THEN 3.0
+                                          WHEN 'I' THEN 3.5 WHEN 'O' THEN 4.0 END, 3.0) * user_std_amount,
+             COALESCE(CASE TransferType WHEN 'S' THEN 5000.0 WHEN 'Q' THEN 3000.0 WHEN 'L' THEN 2000.0
+                                        WHEN 'I' THEN 1500.0 WHEN 'O' THEN 1000.0 END, 2000.0)) AS threshold,
+    COALESCE(month_spending_before, 0.0) + transaction_amount AS projected
+  FROM feat2 f
+), rules2 AS (
+  SELECT r.*,
+    list_filter([
+      CASE WHEN txn_count_10min > 5 THEN 'Velocity limit exceeded: ' || CAST(txn_count_10min AS VARCHAR)
+           || ' transactions in last 10 minutes (max allowed 5)' END,
+      CASE WHEN txn_count_1hour > 15 THEN 'Hourly velocity limit exceeded: ' || CAST(txn_count_1hour AS VARCHAR)
+           || ' transactions in last 1 hour (max allowed 15)' END,
+      CASE WHEN projected > threshold THEN 'Monthly spending AED ' || format('{:,.2f}', projected)
+           || ' exceeds limit AED ' || format('{:,.2f}', threshold) END
+    ], lambda x: x IS NOT NULL) AS reasons
+  FROM rules r
+)"""
+
+
+def rule_decisions_sql() -> str:
+    return (
+        "WITH " + _features_ctes(TXN_EVENTS) + RULES_CTE
+        + " SELECT seq, CAST(len(reasons) > 0 AS INTEGER) AS violated, round(threshold, 6) AS threshold,"
+        + " CAST(len(reasons) AS BIGINT) AS n_reasons, array_to_string(reasons, ' | ') AS reasons FROM rules2"
+    )
+
+
+def decision_log_cte() -> str:
+    return (
+        "WITH " + _features_ctes(TXN_EVENTS) + RULES_CTE
+        + """, dlog AS (
+  SELECT CAST(CustomerId AS BIGINT) AS CustomerID, CAST(FromAccountNo AS VARCHAR) AS FromAccountNo,
+         transaction_amount AS Amount, TransferType AS Type,
+         CASE WHEN len(reasons) > 0 THEN 'Rejected' ELSE 'Approved' END AS Status,
+         CreateDate AS Timestamp
+  FROM rules2)"""
+    )
+
+
+ACCOUNT_PROFILE = """
+WITH src AS (""" + TXN_EVENTS + """),
+p AS (
+  SELECT CustomerId, FromAccountNo,
+    avg(COALESCE(AmountInAed, 0.0)) AS user_avg_amount,
+    stddev_samp(COALESCE(AmountInAed, 0.0)) AS sd,
+    max(COALESCE(AmountInAed, 0.0)) AS user_max_amount,
+    count(*) AS user_txn_frequency,
+    avg(CASE WHEN TransferType = 'S' THEN 1.0 ELSE 0.0 END) AS user_international_ratio
+  FROM src WHERE CustomerId IS NOT NULL AND FromAccountNo IS NOT NULL
+  GROUP BY CustomerId, FromAccountNo
+)"""
+
+
+def queries_sql() -> dict[str, str]:
+    from acctsentry.plans.queries import BUCKET_COLS, FEATURE_TABLE_COLS
+
+    q: dict[str, str] = {}
+    q["row_features"] = (
+        "WITH " + _features_ctes(TXN_EVENTS) + " SELECT seq, round(transaction_amount, 6) AS transaction_amount,"
+        " CAST(flag_amount AS INTEGER) AS flag_amount, CAST(transfer_type_encoded AS INTEGER) AS transfer_type_encoded,"
+        " round(CAST(transfer_type_risk AS DOUBLE), 6) AS transfer_type_risk,"
+        " CAST(channel_encoded AS INTEGER) AS channel_encoded, CAST(hour AS INTEGER) AS hour,"
+        " CAST(day_of_week AS INTEGER) AS day_of_week, CAST(is_weekend AS INTEGER) AS is_weekend,"
+        " CAST(is_night AS INTEGER) AS is_night,"
+        " CASE TransferType WHEN 'S' THEN 'Overseas' WHEN 'I' THEN 'Ajman' WHEN 'L' THEN 'UAE'"
+        " WHEN 'Q' THEN 'Quick' WHEN 'O' THEN 'Own' END AS type_name FROM feat2"
+    )
+    q["channel_codes"] = (
+        "WITH src AS (" + TXN_LINEITEM + ") SELECT ChannelId,"
+        " CAST(row_number() OVER (ORDER BY min(seq)) - 1 AS INTEGER) AS channel_encoded"
+        " FROM src WHERE ChannelId IS NOT NULL GROUP BY ChannelId"
+    )
+    q["account_stats"] = (
+        "WITH " + _features_ctes(TXN_EVENTS) + " SELECT CustomerId, FromAccountNo,"
+        " round(user_avg_amount, 6) AS user_avg_amount, round(user_std_amount, 6) AS user_std_amount,"
+        " round(user_max_amount, 6) AS user_max_amount, CAST(user_txn_frequency AS BIGINT) AS user_txn_frequency,"
+        " round(intl_ratio, 6) AS intl_ratio, round(user_high_risk_txn_ratio, 6) AS user_high_risk_txn_ratio,"
+        " CAST(CASE WHEN country_count > 2 THEN 1 ELSE 0 END AS INTEGER) AS geo_anomaly_flag FROM ak"
+    )
+    q["customer_stats"] = (
+        "WITH " + _features_ctes(TXN_LINEITEM) + " SELECT CustomerId, CAST(num_accounts AS BIGINT) AS num_accounts,"
+        " round(cross_account_transfer_ratio, 6) AS cross_account_transfer_ratio,"
+        " CAST(CASE WHEN num_accounts > 1 THEN 1 ELSE 0 END AS INTEGER) AS user_multiple_accounts_flag FROM cs"
+    )
+    for name, (view, cols) in BUCKET_COLS.items():
+        q[name] = feature_select(view, ["seq", *cols])
+    q["feature_table"] = feature_select("events", FEATURE_TABLE_COLS)
+    q["feature_table_lineitem"] = feature_select("lineitem", FEATURE_TABLE_COLS)
+    q["account_profile"] = ACCOUNT_PROFILE + """
+SELECT CustomerId, FromAccountNo, round(user_avg_amount, 6) AS user_avg_amount,
+  round(user_max_amount, 6) AS user_max_amount, CAST(user_txn_frequency AS BIGINT) AS user_txn_frequency,
+  round(user_international_ratio, 6) AS user_international_ratio,
+  round(CASE WHEN user_txn_frequency > 1 THEN sd ELSE 0.0 END, 6) AS user_std_display,
+  round(CASE WHEN user_txn_frequency > 1 THEN sd ELSE 2000.0 END, 6) AS user_std_decision
+FROM p"""
+    q["limits_by_type"] = ACCOUNT_PROFILE + """,
+t(transfer_type, mult, fl) AS (VALUES ('S', 2.0, 5000.0), ('I', 3.5, 1500.0), ('L', 3.0, 2000.0),
+                                       ('Q', 2.5, 3000.0), ('O', 4.0, 1000.0))
+SELECT CustomerId, FromAccountNo, transfer_type,
+  round(greatest(user_avg_amount + mult * (CASE WHEN user_txn_frequency > 1 THEN sd ELSE 0.0 END), fl), 6) AS "limit"
+FROM p CROSS JOIN t"""
+    q["month_to_date"] = (
+        "WITH src AS (" + TXN_LINEITEM + "), as_of_t AS (SELECT max(CreateDate) AS a FROM src)"
+        " SELECT CustomerId, FromAccountNo, round(COALESCE(sum(CASE WHEN date_trunc('month', CreateDate)"
+        " = date_trunc('month', (SELECT a FROM as_of_t)) THEN COALESCE(AmountInAed, 0.0) END), 0.0), 6) AS month_to_date"
+        " FROM src WHERE CustomerId IS NOT NULL AND FromAccountNo IS NOT NULL GROUP BY CustomerId, FromAccountNo"
+    )
+    q["rule_decisions"] = rule_decisions_sql()
+    q["decision_log"] = decision_log_cte() + (
+        " SELECT CustomerID, FromAccountNo, round(Amount, 6) AS Amount, Type, Status, Timestamp FROM dlog"
+    )
+    q["history_totals"] = decision_log_cte() + """,
+as_of_t AS (SELECT max(CreateDate) AS a FROM src),
+both_rows AS (
+  SELECT CAST(CustomerId AS BIGINT) AS CustomerID, CAST(FromAccountNo AS VARCHAR) AS FromAccountNo,
+         COALESCE(AmountInAed, 0.0) AS Amount, CreateDate AS Timestamp, 1 AS stored FROM src
+  UNION ALL
+  SELECT CustomerID, FromAccountNo, Amount, Timestamp, 0 AS stored FROM dlog
+  WHERE Status IN ('Approved', 'Force Approved')
+)
+SELECT CustomerID, FromAccountNo,
+  CAST(sum(stored) AS BIGINT) AS stored_count, CAST(sum(1 - stored) AS BIGINT) AS session_count,
+  CAST(count(*) AS BIGINT) AS total_txns,
+  round(COALESCE(sum(CASE WHEN stored = 1 AND date_trunc('month', Timestamp) = date_trunc('month', (SELECT a FROM as_of_t)) THEN Amount END), 0.0), 6) AS stored_month,
+  round(COALESCE(sum(CASE WHEN stored = 0 AND date_trunc('month', Timestamp) = date_trunc('month', (SELECT a FROM as_of_t)) THEN Amount END), 0.0), 6) AS session_month,
+  round(COALESCE(sum(CASE WHEN stored = 1 AND date_trunc('month', Timestamp) = date_trunc('month', (SELECT a FROM as_of_t)) THEN Amount END), 0.0)
+      + COALESCE(sum(CASE WHEN stored = 0 AND date_trunc('month', Timestamp) = date_trunc('month', (SELECT a FROM as_of_t)) THEN Amount END), 0.0), 6) AS total_month
+FROM both_rows WHERE CustomerID IS NOT NULL AND FromAccountNo IS NOT NULL
+GROUP BY CustomerID, FromAccountNo"""
+    q["account_list"] = (
+        "WITH src AS (" + TXN_EVENTS + ") SELECT DISTINCT CAST(CustomerId AS VARCHAR) AS customer,"
+        " CAST(FromAccountNo AS VARCHAR) AS account FROM src"
+        " WHERE CustomerId IS NOT NULL AND FromAccountNo IS NOT NULL ORDER BY customer, account"
+    )
+    q["customer_list"] = (
+        "WITH src AS (" + TXN_LINEITEM + ") SELECT DISTINCT CAST(CustomerId AS VARCHAR) AS customer"
+        " FROM src WHERE CustomerId IS NOT NULL ORDER BY customer"
+    )
+    q["scaler_stats"] = scaler_cte() + (
+        " SELECT CAST(position AS INTEGER) AS position, feature, round(mean, 6) AS mean, round(scale, 6) AS scale FROM sc"
+    )
+    q["scaled_features"] = scaled_features_sql()
+    approved = """
+WITH src AS (""" + TXN_EVENTS + """),
+b AS (SELECT seq, CustomerId, FromAccountNo, epoch_us(CreateDate) AS us,
+             CASE WHEN Status IN ('Approved', 'Force Approved') THEN 1 ELSE 0 END AS ap
+      FROM src WHERE CustomerId IS NOT NULL AND FromAccountNo IS NOT NULL AND CreateDate IS NOT NULL),
+v AS (
+  SELECT seq,
+    COALESCE(sum(ap) OVER (PARTITION BY CustomerId, FromAccountNo ORDER BY us
+                           RANGE BETWEEN 599999999 PRECEDING AND CURRENT ROW), 0)
+    - COALESCE(sum(ap) OVER (PARTITION BY CustomerId, FromAccountNo, us ORDER BY seq
+                             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) + 1 AS c10,
+    COALESCE(sum(ap) OVER (PARTITION BY CustomerId, FromAccountNo ORDER BY us
+                           RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW), 0)
+    - COALESCE(sum(ap) OVER (PARTITION BY CustomerId, FromAccountNo, us ORDER BY seq
+                             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) + 1 AS c1h,
+    us - max(CASE WHEN ap = 1 THEN us END) OVER (PARTITION BY CustomerId, FromAccountNo ORDER BY us, seq
+                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS gap_us,
+    COALESCE(sum(ap) OVER (PARTITION BY CustomerId, FromAccountNo ORDER BY us, seq
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sc
+  FROM b)
+SELECT seq, CAST(c10 AS BIGINT) AS live_txn_count_10min, CAST(c1h AS BIGINT) AS live_txn_count_1hour,
+  round(CASE WHEN gap_us IS NULL THEN 3600.0 ELSE gap_us / 1000000.0 END, 6) AS live_time_since_last,
+  CAST(sc AS BIGINT) AS session_count
+FROM v"""
+    q["approved_velocity"] = approved
+    q["live_stream"] = approved
+    return q
