@@ -125,7 +125,7 @@ def tree_samples(matrix: DataFrame, n: int, psi: int, n_trees: int, seed: int, o
     mask = F.lit(0x7FFFFFFFFFFFFFFF).cast("long")
     draws = F.transform(
         F.sequence(F.lit(0), F.lit(n_trees - 1)),
-        lambda t: F.struct(t.alias("tree"), (F.xxhash64(F.col(S.SEQ), t, F.lit(seed)) & mask).alias("h")),
+        lambda t: F.struct(t.alias("tree"), F.xxhash64(F.col(S.SEQ), t, F.lit(seed)).bitwiseAND(mask).alias("h")),
     )
     kept = F.filter(draws, lambda s: s["h"] <= F.lit(cutoff))
     picked = matrix.select("*", F.explode(kept).alias("_d")).select(

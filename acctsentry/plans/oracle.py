@@ -433,4 +433,26 @@ SELECT seq, CAST(c10 AS BIGINT) AS live_txn_count_10min, CAST(c1h AS BIGINT) AS
 FROM v"""
     q["approved_velocity"] = approved
     q["live_stream"] = approved
-    return q
+    return {k: _ieee_round6(v) for k, v in q.items()}
+
+
+def _ieee_round6(sql: str) -> str:
+    """Rewrite every ``round(expr, 6)`` as ``floor(expr * 1e6 + 0.5) / 1e6``,
+    the same IEEE steps the Spark side uses."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        k, depth = j + len("round("), 1
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = sql[j + len("round("):k - 1]
+        head, _, digits = inner.rpartition(",")
+        if digits.strip() != "6":
+            out.append(sql[i:k])
+        else:
+            out.append(sql[i:j] + f"(floor(CAST({_ieee_round6(head)} AS DOUBLE) * 1000000.0 + 0.5) / 1000000.0)")
+        i = k

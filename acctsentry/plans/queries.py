@@ -23,8 +23,11 @@ K = list(S.ACCOUNT_KEY)
 
 
 def r6(c: str | Column, name: str | None = None) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return F.round(col.cast("double"), 6).alias(name or (c if isinstance(c, str) else None))
+    """Round to 6 places as floor(x * 1e6 + 0.5) / 1e6: plain IEEE steps that
+    give the same double in any engine (decimal-string rounding does not)."""
+    col = (F.col(c) if isinstance(c, str) else c).cast("double")
+    out = F.floor(col * F.lit(1e6) + F.lit(0.5)).cast("double") / F.lit(1e6)
+    return out.alias(name or (c if isinstance(c, str) else None))
 
 
 def _events(spark, sf) -> DataFrame:
