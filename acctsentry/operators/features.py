@@ -222,17 +222,47 @@ def _chunk(us: Column, width_us: int) -> Column:
     )
 
 
+def chunk_tails(p: DataFrame) -> DataFrame:
+    """One row per (account, day chunk) with the rows just before the chunk:
+    the last four amounts and the previous time, for the row-count frames.
+
+    Built from a narrow projection shuffled by (account, day): the first row
+    and the last four rows of every chunk form a small table in which the four
+    rows before a chunk's first row are the four rows before the chunk.  That
+    table is windowed per account; it holds at most five rows per day, so even
+    a hot account is small there.
+    """
+    narrow = p.select(
+        *K, *KN, "_us", "_us_sort", S.SEQ, S.CREATED, "transaction_amount",
+        _chunk(F.col("_us"), X.DAY_US).alias("_t"),
+    )
+    part = Window.partitionBy(*KN, "_t")
+    narrow = narrow.select(
+        "*",
+        F.row_number().over(part.orderBy("_us_sort", S.SEQ)).alias("_rn"),
+        F.count(F.lit(1)).over(part).alias("_n"),
+    )
+    tail = narrow.where((F.col("_n") - F.col("_rn") < 4) | (F.col("_rn") == 1))
+    by_key = Window.partitionBy(*KN).orderBy("_us_sort", S.SEQ)
+    lag_amt = [F.lag("transaction_amount", i).over(by_key) for i in (4, 3, 2, 1)]
+    return tail.select(
+        *K, *KN, "_t", "_rn",
+        F.array_compact(F.array(*lag_amt)).alias("_carry_amts"),
+        F.lag("_us", 1).over(by_key).alias("_carry_us"),
+        F.lag(S.CREATED, 1).over(by_key).alias("_carry_ts"),
+    ).where(F.col("_rn") == 1).drop("_rn")
+
+
 def group_table(p: DataFrame) -> DataFrame:
-    """Every (account, day chunk) present, with all group statistics."""
-    skeleton = p.select(*K, _chunk(F.col("_us"), X.DAY_US).alias("_t")).distinct()
-    table = (
-        skeleton.join(account_stats(p), K, "left")
+    """Every (account, day chunk) present, with its carry and all group
+    statistics; joined to the rows inside the velocity pass."""
+    return (
+        chunk_tails(p)
+        .join(account_stats(p), K, "left")
         .join(customer_stats(p), S.CUSTOMER, "left")
         .join(calendar_tables(p), [*K, "_t"], "left")
+        .drop(*K)
     )
-    table = _null_safe(table, S.CUSTOMER, "_k0", "_k1")
-    table = _null_safe(table, S.ACCOUNT, "_k2", "_k3")
-    return table.drop(*K)
 
 
 # ---------------------------------------------------------------------------
@@ -316,7 +346,6 @@ def velocity_pass(p: DataFrame, groups: DataFrame) -> DataFrame:
         _trailing_count(keys, S.WINDOW_10MIN * X.MICROS).alias("_c10m"),
         _trailing_count(keys, S.WINDOW_1HOUR * X.MICROS).alias("_c1h"),
         F.row_number().over(own).alias("_rn"),
-        F.count(F.lit(1)).over(own_part).alias("_n"),
         F.lag("_us").over(own).alias("_prev_us_in"),
         F.lag(S.CREATED).over(own).alias("_prev_ts_in"),
         F.collect_list(amt).over(own.rowsBetween(-4, 0)).alias("_last5"),
@@ -325,21 +354,7 @@ def velocity_pass(p: DataFrame, groups: DataFrame) -> DataFrame:
         ).alias("_day_before"),
     ).where(~F.col("_halo"))
 
-    # Rows before a chunk for the row-count frames: the last four rows and the
-    # first row of every chunk form a small table; in it, the four rows before
-    # a chunk's first row are the four rows before the chunk.
-    tail = rows.where((F.col("_n") - F.col("_rn") < 4) | (F.col("_rn") == 1)).select(
-        *KN, "_t", "_rn", "_us_sort", S.SEQ, "_us", S.CREATED, "transaction_amount"
-    )
-    by_key = Window.partitionBy(*KN).orderBy("_us_sort", S.SEQ)
-    lag_amt = [F.lag("transaction_amount", i).over(by_key) for i in (4, 3, 2, 1)]
-    carry = tail.select(
-        *KN, "_t", "_rn",
-        F.array_compact(F.array(*lag_amt)).alias("_carry_amts"),
-        F.lag("_us", 1).over(by_key).alias("_carry_us"),
-        F.lag(S.CREATED, 1).over(by_key).alias("_carry_ts"),
-    ).where(F.col("_rn") == 1).drop("_rn")
-    return rows.join(carry, [*KN, "_t"], "left")
+    return rows
 
 
 def _finish(v: DataFrame, out_cols: list[str]) -> DataFrame:
