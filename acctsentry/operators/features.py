@@ -382,6 +382,7 @@ def _finish(v: DataFrame, out_cols: list[str]) -> DataFrame:
         "deviation_from_avg": F.abs(amt - F.col("user_avg_amount")),
         "amount_to_max_ratio": X.safe_ratio(amt, F.col("user_max_amount")),
         "user_multiple_accounts_flag": F.coalesce((F.col("num_accounts") > 1).cast("int"), F.lit(0)),
+        "geo_anomaly_flag": F.coalesce(F.col("geo_anomaly_flag"), F.lit(0)),
         "rolling_std": F.when(key_null, F.lit(0.0)).otherwise(X.sample_std(window5)),
         "time_since_last": gap,
         "last_txn_time": F.when(key_null, F.lit(None)).otherwise(prev_ts),
