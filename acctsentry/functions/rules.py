@@ -19,11 +19,11 @@ def type_limit(user_avg: Column, user_std: Column, transfer_type: Column) -> Col
 
 
 def all_limits(user_avg: Column, user_std: Column) -> Column:
-    """R2: map type -> limit, for the five types in display order."""
-    parts = []
-    for t in S.LIMIT_TYPE_ORDER:
-        parts.extend([F.lit(t), type_limit(user_avg, user_std, F.lit(t))])
-    return F.create_map(*parts)
+    """R2: array of (transfer_type, limit) for the five types, in display order."""
+    return F.array(*[
+        F.struct(F.lit(t).alias("transfer_type"), type_limit(user_avg, user_std, F.lit(t)).alias("limit"))
+        for t in S.LIMIT_TYPE_ORDER
+    ])
 
 
 def velocity_10min_reason(n: Column) -> Column:

@@ -145,7 +145,7 @@ def account_list(txn: DataFrame) -> DataFrame:
 def limits_by_type(profile: DataFrame) -> DataFrame:
     """R2: the five limits of every account, one row per type."""
     limits = R.all_limits(F.col("user_avg_amount"), F.col("user_std_display"))
-    return profile.select(*K, F.explode(limits).alias("transfer_type", "limit"))
+    return profile.select(*K, F.inline(limits))
 
 
 def rule_decisions(features: DataFrame) -> DataFrame:
