@@ -282,16 +282,26 @@ def _with_halo(rows: DataFrame, width_us: int, lookback_us: int, narrow: list[st
     return owned.unionByName(halo, allowMissingColumns=True)
 
 
-def _trailing_count(keys: list[str], width_us: int) -> Column:
-    """Rows of the partition in [t - width, t] that are not later ties: the
-    value frame also takes rows with the same time that come after this row
-    in file order, so those are subtracted."""
-    by_time = Window.partitionBy(*keys).orderBy("_us")
-    by_row = Window.partitionBy(*keys).orderBy("_us", S.SEQ)
-    in_range = F.count(F.lit(1)).over(by_time.rangeBetween(-width_us, 0))
+def _orders(keys: list[str]):
+    """Window specs over (keys) ordered by time (NULL last) then file order;
+    every window of a pass shares this one sort."""
+    by_time = Window.partitionBy(*keys).orderBy(F.col("_us").asc_nulls_last())
+    by_row = Window.partitionBy(*keys).orderBy(F.col("_us").asc_nulls_last(), S.SEQ)
+    return by_time, by_row
+
+
+def _later_ties(keys: list[str]) -> Column:
+    """Rows with the same time that come after this row in file order: a
+    value frame takes them, the reference's positional loop does not."""
+    by_time, by_row = _orders(keys)
     upto_time = F.count(F.lit(1)).over(by_time.rangeBetween(Window.unboundedPreceding, 0))
     upto_row = F.count(F.lit(1)).over(by_row.rowsBetween(Window.unboundedPreceding, 0))
-    return in_range - (upto_time - upto_row)
+    return upto_time - upto_row
+
+
+def _in_range(keys: list[str], width_us: int) -> Column:
+    by_time, _ = _orders(keys)
+    return F.count(F.lit(1)).over(by_time.rangeBetween(-width_us, 0))
 
 
 def beneficiary_pass(p: DataFrame) -> DataFrame:
@@ -306,13 +316,11 @@ def beneficiary_pass(p: DataFrame) -> DataFrame:
     )
     rows = rows.join(first, [*KN, *BN, "_t"], "left")
     keys = [*KN, *BN, "_t"]
-    own = Window.partitionBy(*keys, "_halo").orderBy("_us_sort", S.SEQ)
-    count30 = _trailing_count(keys, S.WINDOW_30D * X.MICROS)
+    _, by_row = _orders(keys)
     rows = rows.select(
-        "*",
-        count30.alias("_bene_30d"),
-        (F.row_number().over(own) == 1).alias("_first_in_chunk"),
+        "*", (_in_range(keys, S.WINDOW_30D * X.MICROS) - _later_ties(keys)).alias("_bene_30d")
     ).where(~F.col("_halo"))
+    rows = rows.withColumn("_first_in_chunk", F.row_number().over(by_row) == 1)
     key_null = ~_key_not_null()
     is_new = F.when(key_null, F.lit(None)).otherwise(
         (F.col("_first_in_chunk") & F.col("_first_chunk")).cast("int")
@@ -332,29 +340,31 @@ def beneficiary_pass(p: DataFrame) -> DataFrame:
 
 def velocity_pass(p: DataFrame, groups: DataFrame) -> DataFrame:
     """W3-W8, P18, P21 and bucket/account statistics on (account, day)
-    partitions; one exchange of the rows."""
+    partitions; one exchange and one sort of the rows."""
     narrow = [*KN, "_us", "_us_sort", S.SEQ]
     rows = _with_halo(p, X.DAY_US, S.WINDOW_1HOUR * X.MICROS, narrow)
     rows = rows.join(groups, [*KN, "_t"], "left")
     keys = [*KN, "_t"]
-    own_part = Window.partitionBy(*keys, "_halo")
-    own = own_part.orderBy("_us_sort", S.SEQ)
-    amt = F.col("transaction_amount")
+    _, by_row = _orders(keys)
+    ties = _later_ties(keys)
     rows = rows.select(
         "*",
-        _trailing_count(keys, S.WINDOW_30S * X.MICROS).alias("_c30s"),
-        _trailing_count(keys, S.WINDOW_10MIN * X.MICROS).alias("_c10m"),
-        _trailing_count(keys, S.WINDOW_1HOUR * X.MICROS).alias("_c1h"),
-        F.row_number().over(own).alias("_rn"),
-        F.lag("_us").over(own).alias("_prev_us_in"),
-        F.lag(S.CREATED).over(own).alias("_prev_ts_in"),
-        F.collect_list(amt).over(own.rowsBetween(-4, 0)).alias("_last5"),
+        (_in_range(keys, S.WINDOW_30S * X.MICROS) - ties).alias("_c30s"),
+        (_in_range(keys, S.WINDOW_10MIN * X.MICROS) - ties).alias("_c10m"),
+        (_in_range(keys, S.WINDOW_1HOUR * X.MICROS) - ties).alias("_c1h"),
+    ).where(~F.col("_halo"))
+    # halo rows are gone: the frames below see the chunk's own rows only
+    amt = F.col("transaction_amount")
+    return rows.select(
+        "*",
+        F.row_number().over(by_row).alias("_rn"),
+        F.lag("_us").over(by_row).alias("_prev_us_in"),
+        F.lag(S.CREATED).over(by_row).alias("_prev_ts_in"),
+        F.collect_list(amt).over(by_row.rowsBetween(-4, 0)).alias("_last5"),
         F.coalesce(
-            F.sum(amt).over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
+            F.sum(amt).over(by_row.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
         ).alias("_day_before"),
-    ).where(~F.col("_halo"))
-
-    return rows
+    )
 
 
 def _finish(v: DataFrame, out_cols: list[str]) -> DataFrame:
