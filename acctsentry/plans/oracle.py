@@ -431,6 +431,11 @@ SELECT seq, CAST(c10 AS BIGINT) AS live_txn_count_10min, CAST(c1h AS BIGINT) AS
   round(CASE WHEN gap_us IS NULL THEN 3600.0 ELSE gap_us / 1000000.0 END, 6) AS live_time_since_last,
   CAST(sc AS BIGINT) AS session_count
 FROM v"""
+    q["transactions_csv"] = (
+        "WITH src AS (" + TXN_EVENTS + ") SELECT seq, CAST(CustomerId AS VARCHAR) AS CustomerId,"
+        " CAST(FromAccountNo AS VARCHAR) AS FromAccountNo, CAST(ReceipentAccount AS VARCHAR) AS ReceipentAccount,"
+        " round(AmountInAed, 6) AS AmountInAed, TransferType, ChannelId, BankCountry, CreateDate FROM src"
+    )
     q["approved_velocity"] = approved
     q["live_stream"] = approved
     return {k: _ieee_round6(v) for k, v in q.items()}

@@ -311,6 +311,23 @@ def q_decision_log(spark, sf):
                       F.col("Timestamp").cast("timestamp_ntz").alias("Timestamp"))
 
 
+def q_transactions_csv(spark, sf):
+    """Transfers written as CSV text with a header, read back with the
+    fixed text schema and coerced by conform() (dates and amounts from text)."""
+    from acctsentry.session import scratch_path
+    from acctsentry.sources.transactions import read_transactions
+
+    path = scratch_path(spark, "txn-csv")
+    txn = _events(spark, sf).drop("Status")
+    (txn.write.mode("overwrite").option("header", True)
+        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+    back = read_transactions(spark, path, fmt="csv")
+    return back.select(
+        F.col(S.SEQ), S.CUSTOMER, S.ACCOUNT, S.BENEFICIARY, r6(S.AMOUNT), S.TRANSFER_TYPE, S.CHANNEL, S.COUNTRY,
+        F.col(S.CREATED).cast("timestamp_ntz").alias(S.CREATED),
+    )
+
+
 def q_feature_table(spark, sf):
     return _feature_cols(spark, sf, "events", FEATURE_TABLE_COLS)
 
@@ -325,6 +342,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "account_stats": q_account_stats,
     "customer_stats": q_customer_stats,
     **{name: _make_feature_query(view, cols) for name, (view, cols) in BUCKET_COLS.items()},
+    "transactions_csv": q_transactions_csv,
     "feature_table": q_feature_table,
     "feature_table_lineitem": q_feature_table_lineitem,
     "account_profile": q_account_profile,
