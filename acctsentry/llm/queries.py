@@ -6,12 +6,24 @@ parameters, and derives the digest columns from the operator's output.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctsentry.llm.common import table
 from acctsentry.llm.line_dedup import drop_shared_lines
+from acctsentry.llm.quality import quality_rules
 from acctsentry.llm.sharding import shard_by_size
+from acctsentry.llm.token_counts import count_tokens
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +67,8 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_token_counts": op4_token_counts,
+    "op6_quality": op6_quality,
     "op7_line_dedup": op7_line_dedup,
     "op9_sharding": op9_sharding,
 }
