@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctsentry.llm.common import table
+from acctsentry.llm.decontamination import decontaminate
 from acctsentry.llm.line_dedup import drop_shared_lines
 from acctsentry.llm.quality import quality_rules
 from acctsentry.llm.sharding import shard_by_size
@@ -22,6 +23,38 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+OP5_SQL = r"""
+WITH w AS (
+  SELECT 'd' AS side, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+  UNION ALL
+  SELECT 'i', item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+iw AS (
+  SELECT DISTINCT id AS item_id, least(len(ws), 10) AS k, array_to_string(ws[i : i + least(len(ws), 10) - 1], ' ') AS win
+  FROM w, range(1, len(ws) - least(len(ws), 10) + 2) r(i) WHERE side = 'i' AND len(ws) > 0),
+dw AS (
+  SELECT id AS doc_id, i, k, array_to_string(ws[i : i + k - 1], ' ') AS win
+  FROM w, (SELECT DISTINCT k FROM iw) kk, range(1, len(ws) - k + 2) r(i) WHERE side = 'd' AND len(ws) >= k),
+hit AS (SELECT doc_id, i, k, item_id FROM dw JOIN iw USING (k, win)),
+pos AS (SELECT doc_id, count(DISTINCT i + j) AS n_hit FROM hit, range(0, k) r(j) GROUP BY doc_id),
+its AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS s
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY doc_id)
+SELECT id AS doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN pos ON pos.doc_id = w.id LEFT JOIN its ON its.doc_id = w.id WHERE side = 'd'
+"""
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -68,11 +101,13 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_token_counts": op4_token_counts,
+    "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
     "op7_line_dedup": op7_line_dedup,
     "op9_sharding": op9_sharding,
 }
 
 ORACLE_SQL = {
+    "op5_decontamination": OP5_SQL,
     "op7_line_dedup": OP7_SQL,
 }
