@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from acctsentry.llm.common import table
 from acctsentry.llm.decontamination import decontaminate
 from acctsentry.llm.line_dedup import drop_shared_lines
+from acctsentry.llm.near_dedup import near_duplicates
 from acctsentry.llm.quality import quality_rules
 from acctsentry.llm.sharding import shard_by_size
 from acctsentry.llm.token_counts import count_tokens
@@ -99,12 +100,18 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs, shingle=4).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
     "op7_line_dedup": op7_line_dedup,
     "op9_sharding": op9_sharding,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLE_SQL = {
