@@ -15,10 +15,49 @@ from acctsentry.llm.decontamination import decontaminate
 from acctsentry.llm.line_dedup import drop_shared_lines
 from acctsentry.llm.near_dedup import near_duplicates
 from acctsentry.llm.quality import quality_rules
+from acctsentry.llm.secret_scan import BASE_RULES, RULES, find_secrets, span_list
 from acctsentry.llm.sharding import shard_by_size
 from acctsentry.llm.token_counts import count_tokens
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    def number(kind: int):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("secrets", lambda s: s["kind"] < len(BASE_RULES))
+    return found.select(
+        "doc_id", number(0).alias("n_assign"), number(1).alias("n_access"), number(2).alias("n_hex"),
+        F.sha2(span_list(base), 256).alias("base_sha256"), span_list(F.col("secrets")).alias("spans"))
+
+
+def _op3_rule_sql(i: int) -> str:
+    pattern = RULES[i].pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, {i} AS kind, unnest(regexp_extract_all(t, '{pattern}', 0)) AS m,
+         unnest(regexp_extract_all(t, '{pattern}', {RULES[i].group})) AS g,
+         unnest(string_split_regex(t, '{pattern}')[1:-2]) AS gap,
+         unnest(range(0, len(regexp_extract_all(t, '{pattern}', 0)))) AS i FROM t"""
+
+
+_KINDS = ", ".join(f"'{r.kind}'" for r in RULES)
+_LEAST = ", ".join(str(r.least) for r in RULES)
+OP3_SQL = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL".join(_op3_rule_sql(i) for i in range(len(RULES)))}),
+s AS (
+  SELECT doc_id, kind, length(g) AS n, length(m) AS len,
+         sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS e FROM m),
+k AS (
+  SELECT doc_id, kind, e - len AS b, [{_KINDS}][kind + 1] || ':' || CAST(e - len AS BIGINT) || ':' || CAST(e AS BIGINT) AS span
+  FROM s WHERE n >= [{_LEAST}][kind + 1])
+SELECT t.doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+       count(*) FILTER (WHERE kind = 2) AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY b, kind) FILTER (WHERE kind < {len(BASE_RULES)}), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY b, kind), '') AS spans
+FROM t LEFT JOIN k ON k.doc_id = t.doc_id GROUP BY t.doc_id
+"""
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
@@ -106,6 +145,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_secret_scan": op3_secret_scan,
     "op4_token_counts": op4_token_counts,
     "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
@@ -115,6 +155,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_secret_scan": OP3_SQL,
     "op5_decontamination": OP5_SQL,
     "op7_line_dedup": OP7_SQL,
 }
