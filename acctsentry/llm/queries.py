@@ -18,6 +18,24 @@ from acctsentry.llm.quality import quality_rules
 from acctsentry.llm.secret_scan import BASE_RULES, RULES, find_secrets, span_list
 from acctsentry.llm.sharding import shard_by_size
 from acctsentry.llm.token_counts import count_tokens
+from acctsentry.llm.warc import archive_pages
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(spark, table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP2_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (
+  SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+         max(page_id) OVER (PARTITION BY h) AS owner FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes < 1000 OR page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN payload_bytes < 1000 OR page_id = owner THEN NULL ELSE owner END AS refers_to
+FROM q
+"""
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,6 +163,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_warc": op2_warc,
     "op3_secret_scan": op3_secret_scan,
     "op4_token_counts": op4_token_counts,
     "op5_decontamination": op5_decontamination,
@@ -155,6 +174,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_warc": OP2_SQL,
     "op3_secret_scan": OP3_SQL,
     "op5_decontamination": OP5_SQL,
     "op7_line_dedup": OP7_SQL,
