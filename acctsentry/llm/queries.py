@@ -18,6 +18,7 @@ from acctsentry.llm.quality import quality_rules
 from acctsentry.llm.secret_scan import BASE_RULES, RULES, find_secrets, span_list
 from acctsentry.llm.sharding import shard_by_size
 from acctsentry.llm.token_counts import count_tokens
+from acctsentry.llm.toxicity import score_texts, train
 from acctsentry.llm.warc import archive_pages
 
 
@@ -144,6 +145,14 @@ FROM d GROUP BY doc_id
 """
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = train(docs, labels.where(~held_out))
+    return score_texts(docs, model, ["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -169,6 +178,7 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
     "op7_line_dedup": op7_line_dedup,
+    "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_near_dedup": op10_near_dedup,
 }
