@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from acctsentry.llm.common import col
 
 #: Bytes of text that are worked on at once (one text may be larger).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _P, _Q = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xD6E8FEB86659FD93 | 1)
 _PINV = np.uint64(pow(int(_P), -1, 1 << 64))
@@ -52,17 +52,18 @@ def per_text(
 ) -> DataFrame:
     """``keep`` columns plus what ``fn(bytes, offsets)`` gives for each text.
 
-    The text itself isn't returned; no shuffle.
+    The text itself is returned only if it is among ``keep``; no shuffle.
     """
-    src = docs.select(*[col(c).alias(f"k{i}") for i, c in enumerate(keep)], col(text_col).alias("t"))
+    t = f"k{keep.index(text_col)}" if text_col in keep else "t"
+    src = docs.select(*[col(c).alias(f"k{i}") for i, c in enumerate(keep)], *([col(text_col).alias("t")] if t == "t" else []))
     kinds = {f.name: f.dataType for f in docs.schema.fields}
     schema = T.StructType([T.StructField(c, kinds[c]) for c in keep] + result.fields)
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "t"):
-                found = fn(*utf8(part.column("t")))
+            for part in slices(batch, t):
+                found = fn(*utf8(part.column(t)))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i).cast(arrow.field(i).type) for i in range(len(keep))]
                     + [x if isinstance(x := found[f.name], pa.Array) else pa.array(x, type=arrow.field(f.name).type)

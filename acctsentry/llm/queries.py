@@ -16,12 +16,22 @@ from acctsentry.llm.line_dedup import drop_shared_lines
 from acctsentry.llm.near_dedup import near_duplicates
 from acctsentry.llm.quality import quality_rules
 from acctsentry.llm.secret_scan import BASE_RULES, RULES, find_secrets, span_list
+from acctsentry.llm.sentence_pieces import decode, encode
 from acctsentry.llm.sharding import shard_by_size
 from acctsentry.llm.token_counts import count_tokens
 from acctsentry.llm.toxicity import score_texts, train
 from acctsentry.llm.warc import archive_pages
 
 
+def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    both = decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
+    seen = F.translate(F.coalesce("text", F.lit("")), "\u2581", " ")
+    return both.select(
+        "doc_id", F.size("pieces").cast("long").alias("n_pieces"), F.sha2(F.array_join("pieces", ","), 256).alias("pieces_sha256"),
+        (F.col("decoded") == seen).alias("round_trip"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(spark, table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -172,6 +182,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentence_pieces": op1_sentence_pieces,
     "op2_warc": op2_warc,
     "op3_secret_scan": op3_secret_scan,
     "op4_token_counts": op4_token_counts,
