@@ -68,7 +68,7 @@ def sketch(h: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 SIGNATURE = T.StructType([
     T.StructField("n", T.LongType()), T.StructField("s1", T.LongType()), T.StructField("s2", T.LongType()),
-    T.StructField("regs", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+    T.StructField("regs", T.BinaryType())])
 
 
 def signatures(n: int):
@@ -78,21 +78,31 @@ def signatures(n: int):
         full = np.flatnonzero(count)
         first = (np.cumsum(count) - count)[full]
         s1, s2 = np.zeros(len(count), np.uint64), np.zeros(len(count), np.uint64)
-        regs, bands = [b""] * len(count), [[] for _ in count]
+        regs = [b""] * len(count)
         if len(full):
             s1[full] = np.add.reduceat(A.mix(h), first)
             s2[full] = np.add.reduceat(A.mix(h * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1)), first)
-            r = sketch(h, first)
-            key = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None, :], len(full), 0)
-            parts = r[:, : BANDS * BAND].reshape(len(full), BANDS, BAND).astype(np.uint64)
+            for d, r in zip(full, sketch(h, first), strict=True):
+                regs[d] = r.tobytes()
+        return {"n": count, "s1": s1.view(np.int64), "s2": s2.view(np.int64), "regs": regs}
+
+    return run
+
+
+def in_bands(nodes: DataFrame) -> DataFrame:
+    """(node, bucket): the hash of each band's registers and number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            r = np.frombuffer(b"".join(batch.column("regs").to_pylist()), np.uint16).reshape(len(batch), REGISTERS)
+            parts = r[:, : BANDS * BAND].reshape(len(batch), BANDS, BAND).astype(np.uint64)
+            key = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None, :], len(batch), 0)
             for j in range(BAND):
                 key = A.mix(key * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, j])
-            key = key.view(np.int64)
-            for i, d in enumerate(full):
-                regs[d], bands[d] = r[i].tobytes(), key[i]
-        return {"n": count, "s1": s1.view(np.int64), "s2": s2.view(np.int64), "regs": regs, "bands": bands}
+            node = batch.column("node").take(pa.array(np.repeat(np.arange(len(batch)), BANDS)))
+            yield pa.RecordBatch.from_arrays([node, pa.array(key.reshape(-1).view(np.int64))], names=["node", "bucket"])
 
-    return run
+    return nodes.select("node", "regs").mapInArrow(run, T.StructType([nodes.schema["node"], T.StructField("bucket", T.LongType())]))
 
 
 def likely(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray, share: float) -> np.ndarray:
@@ -252,10 +262,9 @@ def near_duplicates(
     signed = materialized(A.per_text(texts, ["id", "th"], "text", signatures(shingle), SIGNATURE))
     nodes = materialized(
         signed.where("n > 0 and id is not null").groupBy("s1", "s2")
-        .agg(F.min(F.struct("id", "th")).alias("least"), F.first("n").alias("n"), F.first("regs").alias("regs"),
-             F.first("bands").alias("bands"))
-        .select(F.col("least.id").alias("node"), F.col("least.th").alias("th"), "s1", "s2", "n", "regs", "bands"))
-    banded = nodes.select("node", F.explode("bands").alias("bucket"))
+        .agg(F.min(F.struct("id", "th")).alias("least"), F.first("n").alias("n"), F.first("regs").alias("regs"))
+        .select(F.col("least.id").alias("node"), F.col("least.th").alias("th"), "s1", "s2", "n", "regs"))
+    banded = in_bands(nodes)
     shared = banded.groupBy("bucket").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("size")).where("size > 1")
     in_bucket = materialized(banded.join(shared, "bucket"))
 
