@@ -57,6 +57,7 @@ def subwords(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
 class Words:
     """The distinct words of some texts, and the texts as word numbers."""
 
+    hashes: np.ndarray
     tokens: np.ndarray
     doc: np.ndarray
     bucket: np.ndarray
@@ -70,8 +71,32 @@ class Words:
         if len(h):  # a word said many times in a row counts once
             new = np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])]
             starts, ends, doc, h = starts[new], ends[new], doc[new], h[new]
-        _, at, tokens = np.unique(h, return_index=True, return_inverse=True)
-        return cls(tokens, doc, *subwords(low, starts[at], ends[at]))
+        distinct, at, tokens = np.unique(h, return_index=True, return_inverse=True)
+        bucket, begin = subwords(low, starts[at], ends[at])
+        return cls(distinct, tokens.astype(np.int32), doc.astype(np.int32), bucket.astype(np.int32), begin)
+
+    @classmethod
+    def of_many(cls, data: np.ndarray, off: np.ndarray) -> Words:
+        """The same for more text than one slice holds."""
+        parts, i = [], 0
+        while i < len(off) - 1:
+            j = max(i + 1, int(np.searchsorted(off, off[i] + A.SLICE_BYTES, side="right")) - 1)
+            part = cls.of(data[off[i] : off[j]], off[i : j + 1] - off[i])
+            part.doc += np.int32(i)
+            parts.append(part)
+            i = j
+        if len(parts) < 2:
+            return parts[0] if parts else cls.of(data, off)
+        distinct, at, number = np.unique(np.concatenate([p.hashes for p in parts]), return_index=True, return_inverse=True)
+        base = np.cumsum([0, *(len(p.hashes) for p in parts)])
+        tokens = np.concatenate([number[b + p.tokens].astype(np.int32) for b, p in zip(base[:-1], parts, strict=True)])
+        room = np.cumsum([0, *(len(p.bucket) for p in parts)])
+        begin = np.concatenate([p.begin[:-1] + r for r, p in zip(room[:-1], parts, strict=True)])[at]
+        size = np.concatenate([np.diff(p.begin) for p in parts])[at]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        spread = np.arange(upto[-1]) + np.repeat(begin - upto[:-1], size)
+        bucket = np.concatenate([p.bucket for p in parts])[spread]
+        return cls(distinct, tokens, np.concatenate([p.doc for p in parts]), bucket, upto)
 
     def mean(self, g: np.ndarray) -> np.ndarray:
         """Average of ``g`` over each distinct word's n-grams."""
@@ -123,7 +148,7 @@ def fit(data: np.ndarray, off: np.ndarray, label: np.ndarray) -> Model:
     """
     n_docs = len(off) - 1
     rng = np.random.default_rng(SEED)
-    words = Words.of(data, off)
+    words = Words.of_many(data, off)
     lo, hi, begin = windows(words.doc, n_docs)
     some = np.flatnonzero(np.diff(begin))
     if not len(some) or label.min() == label.max():
@@ -131,7 +156,7 @@ def fit(data: np.ndarray, off: np.ndarray, label: np.ndarray) -> Model:
         return Model(np.zeros(BUCKETS), float(np.log(share / (1 - share))))
     per_word = np.diff(words.begin)
     n_tokens, n_words = len(words.tokens), len(per_word)
-    held = np.unique(words.doc * n_words + words.tokens) % n_words
+    held = np.unique(words.doc.astype(np.int64) * n_words + words.tokens) % n_words
     in_texts = np.bincount(held, minlength=n_words)
     known = np.bincount(words.bucket, np.repeat(in_texts, per_word), BUCKETS) >= LEAST_SEEN
     emb = rng.normal(0, 0.1, (BUCKETS, DIM)) * known[:, None]
