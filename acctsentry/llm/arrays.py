@@ -131,3 +131,41 @@ def window_starts(doc: np.ndarray, n: int) -> np.ndarray:
 def per_doc(doc: np.ndarray, n_docs: int, weights: np.ndarray | None = None) -> np.ndarray:
     """Count, or sum of whole-number weights, by text."""
     return np.bincount(doc, weights=weights, minlength=n_docs).astype(np.int64)
+
+
+class Lookup:
+    """A fixed map from non-negative 64-bit keys to numbers, asked for whole arrays."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, int(4 * len(keys)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
+        keys, values = keys.astype(np.int64), values.astype(np.int64)
+        slot = self.slot(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[slot] < 0)
+            _, one = np.unique(slot[free], return_index=True)
+            put = free[one]
+            self.keys[slot[put]], self.values[slot[put]] = keys[put], values[put]
+            rest = np.ones(len(keys), bool)
+            rest[put] = False
+            keys, values, slot = keys[rest], values[rest], (slot[rest] + 1) & self.last
+
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * _P) >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray, other: int) -> np.ndarray:
+        """The value of each key, ``other`` where there is none."""
+        slot = self.slot(keys)
+        there = self.keys[slot]
+        out = np.where(there == keys, self.values[slot], other)
+        todo = np.flatnonzero((there != keys) & (there >= 0))
+        slot = slot[todo]
+        while len(todo):
+            slot = (slot + 1) & self.last
+            there = self.keys[slot]
+            hit = there == keys[todo]
+            out[todo[hit]] = self.values[slot[hit]]
+            on = ~hit & (there >= 0)
+            todo, slot = todo[on], slot[on]
+        return out

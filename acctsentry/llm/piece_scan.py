@@ -10,6 +10,8 @@ chunk is traced back for itself.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
 from acctsentry.llm import arrays as A
@@ -20,6 +22,9 @@ LANE = 48
 #: Segments whose pieces a worker remembers before it starts anew.
 MEMORY = 600_000
 
+MARK = chr(SPACE)
+CUT_BEFORE = re.compile(f"[^{MARK}]{MARK}")
+
 #: What a node at a cut has for a piece, and the node in front of a text.
 CUT = -2
 START = (0, CUT)
@@ -27,13 +32,12 @@ START = (0, CUT)
 
 def marked(text: str) -> str:
     """The model's view of a text: a space mark in front and for each space."""
-    mark = chr(SPACE)
-    return mark + text.replace(" ", mark) if text else ""
+    return MARK + text.replace(" ", MARK) if text else ""
 
 
 def is_cut(s: str, i: int) -> bool:
     """Whether no piece can lie across place ``i``: a space mark follows another character."""
-    return s[i] == chr(SPACE) and s[i - 1] != chr(SPACE)
+    return s[i] == MARK and s[i - 1] != MARK
 
 
 def starting_at(table: Pieces, s: str, i: int, stop: int) -> list[tuple[int, int]]:
@@ -130,9 +134,18 @@ class Chunk:
 
     def __init__(self, table: Pieces, text: str, left: int, closed: bool):
         self.table, self.text, self.left, self.closed = table, text, left, closed
-        cuts = [i for i in range(max(left, 1), len(text)) if is_cut(text, i)]
-        self.head = cuts[0] if cuts else None
-        self.tail = cuts[-1] if cuts else None
+        first = CUT_BEFORE.search(text, max(left, 1) - 1)
+        self.head = first.start() + 1 if first else None
+        self.tail = self.head
+        if first:
+            at = text.rfind(MARK)
+            while not is_cut(text, at):
+                at = text.rfind(MARK, 0, at)
+            self.tail = at
+
+    def inner(self) -> str:
+        """The stretch between the first and the last cut."""
+        return "" if self.head is None else self.text[self.head : self.tail]
 
     def seeds(self) -> list[tuple[int, int]]:
         """Nodes at the chunk's beginning from which a path may come in."""
@@ -164,9 +177,9 @@ class Chunk:
         return [(self.left - seeds[k][0], seeds[k][1], end - q, p)
                 for q, p, bits in out for k in range(len(seeds)) if bits >> k & 1]
 
-    def trace(self, enter: tuple[int, int], leave: tuple[int, int], inner) -> list[int]:
-        """Pieces between two nodes, given as in ``matrix``; ``inner`` encodes
-        the stretch between the first and the last cut."""
+    def trace(self, enter: tuple[int, int], leave: tuple[int, int], inner: list[int]) -> list[int]:
+        """Pieces between two nodes, given as in ``matrix``; ``inner`` are the
+        pieces of the stretch between the first and the last cut."""
         table, text, end = self.table, self.text, len(self.text)
         first = (self.left - enter[0], enter[1])
         out: list[int] = []
@@ -175,7 +188,7 @@ class Chunk:
             if first[0] < self.head:
                 nodes = forward(table, text, {first: 1}, begin, self.head)
                 out = spelled(table, text, traced(table, nodes, begin, _end(nodes, self.head), first))
-            out += inner(text[self.head : self.tail])
+            out += inner
             begin, first = self.tail, (self.tail, CUT)
         nodes = forward(table, text, {first: 1}, begin, end)
         last = _end(nodes, end) if self.closed and first[0] < end else (end - leave[0], leave[1])
@@ -219,13 +232,6 @@ class Encoder:
 
     def __init__(self, table: Pieces):
         self.table = table
-        by_hash: list[tuple[int, int]] = []
-        for i in np.flatnonzero(table.usable):
-            p = np.array([ord(c) for c in table.text_of[i]], np.uint32)
-            by_hash.append((int(A.span_hashes(p, np.array([0]), np.array([len(p)]))[0]), int(i)))
-        by_hash.sort()
-        self.piece_hash = np.array([h for h, _ in by_hash], np.uint64)
-        self.piece_id = np.array([i for _, i in by_hash], np.int64)
         self.known_char = np.zeros(0x110000, bool)
         self.known_char[[ord(p) for p in table.id_of if len(p) == 1]] = True
         self.forget()
@@ -234,11 +240,24 @@ class Encoder:
         self.hashes, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
 
-    def find(self, points: np.ndarray, lo: np.ndarray, hi: np.ndarray, sums: np.ndarray) -> np.ndarray:
-        """Piece of each span of characters, or -1."""
-        h = A.mix((sums[hi] - sums[lo]) * A.powers(A._PINV, len(points) + 1)[lo] + (hi - lo).astype(np.uint64) * A._Q)
-        at = np.minimum(np.searchsorted(self.piece_hash, h), len(self.piece_hash) - 1)
-        return np.where(self.piece_hash[at] == h, self.piece_id[at], -1)
+    def found(self, points: np.ndarray, room: np.ndarray) -> np.ndarray:
+        """Row k-1: the piece of k characters that begins at each place, or -1;
+        ``room`` characters are left there."""
+        table = self.table
+        out = np.full((table.longest, len(points)), -1, np.int32)
+        at, node, code = np.arange(len(points)), np.zeros(len(points), np.int64), points.astype(np.int64)
+        for k in range(table.longest):
+            go = room[at] > k
+            at, node = at[go], node[go]
+            node = table.child.get((node << 21) + code[at + k], -1)
+            go = node >= 0
+            at, node = at[go], node[go]
+            if not len(at):
+                break
+            out[k, at] = table.node_piece[node]
+        single = out[0]
+        single[(single < 0) & ~self.known_char[points]] = -1 - self.table.n_pieces  # unknown characters
+        return out
 
     def lanes(self, points: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of all segments, concatenated, and how many each has.
@@ -248,24 +267,25 @@ class Encoder:
         """
         table, n = self.table, len(lo)
         order = np.argsort(lo - hi, kind="stable")  # longest first: active lanes are a prefix
-        lo, length = lo[order], (hi - lo)[order]
+        length = (hi - lo)[order]
         width = int(length[0]) if n else 0
-        sums = np.zeros(len(points) + 1, np.uint64)
-        np.cumsum((points.astype(np.uint64) + np.uint64(1)) * A.powers(A._P, len(points) + 1)[: len(points)], out=sums[1:])
-        last = np.full((width + 1, n), -3, np.int64)
+        # The lanes' characters one behind the other.
+        upto = np.concatenate([[0], np.cumsum(length)])
+        inner = np.arange(upto[-1]) - np.repeat(upto[:-1], length)
+        points = points[np.repeat(lo[order], length) + inner]
+        lo = upto[:-1]
+        found = self.found(points, np.repeat(length, length) - inner)
+        last = np.full((width + 1, n), -3, np.int32)
         step = np.zeros((width + 1, n), np.int8)
         for j in range(1, width + 1):
-            active = int(np.searchsorted(-length, -j, side="right"))
-            open_ = np.arange(active)
+            open_ = np.arange(int(np.searchsorted(-length, -j, side="right")))
             for k in range(min(j, table.longest), 0, -1):
-                begin = lo[open_] + j - k
-                piece = self.find(points, begin, begin + k, sums)
+                piece = found[k - 1, lo[open_] + j - k]
                 if k == 1:
-                    piece = np.where((piece < 0) & ~self.known_char[points[begin]], UNKNOWN, np.where(piece < 0, -9, piece))
-                    may = piece > -9
+                    piece = np.where(piece < -1, UNKNOWN, np.where(piece < 0, -9, piece))
+                    sel = np.flatnonzero(piece > -9)
                 else:
-                    may = piece >= 0
-                sel = np.flatnonzero(may)
+                    sel = np.flatnonzero(piece >= 0)
                 if j > k and len(sel):
                     sel = sel[table.fast(last[j - k, open_[sel]], piece[sel])]
                 if len(sel):
@@ -355,7 +375,8 @@ class Encoder:
         self.hashes = both[order]
         self.at, self.size = np.concatenate([self.at, begin])[order], np.concatenate([self.size, count])[order]
 
-    def encode_text(self, s: str) -> list[int]:
-        """Pieces of one marked text."""
-        points = np.frombuffer(s.encode("utf-32-le"), np.uint32)
-        return self.encode(points, np.array([0, len(points)]))[0].tolist()
+    def encode_texts(self, marked_texts: list[str]) -> list[list[int]]:
+        """Pieces of each marked text."""
+        points = np.frombuffer("".join(marked_texts).encode("utf-32-le"), np.uint32)
+        ids, counts = self.encode(points, np.concatenate([[0], np.cumsum([len(s) for s in marked_texts])]))
+        return [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]

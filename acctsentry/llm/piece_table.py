@@ -14,8 +14,12 @@ from functools import lru_cache
 import numpy as np
 import sentencepiece
 
+from acctsentry.llm import arrays as A
+
 SPACE = 0x2581
 UNKNOWN = -1
+#: A rank behind all others.
+NEVER = np.iinfo(np.int64).max
 
 
 class Pieces:
@@ -43,10 +47,8 @@ class Pieces:
                 if a is not None and b is not None:
                     joins[a, b] = i
         self.joins = joins
-        keys = np.array([a * n + b for a, b in joins], np.int64)
-        order = np.argsort(keys)
-        self.join_keys = keys[order]
-        self.join_rank = rank[np.array(list(joins.values()), np.int64)][order]
+        self.join_rank = A.Lookup(
+            np.array([a * n + b for a, b in joins], np.int64), rank[np.array(list(joins.values()), np.int64)])
         # Each piece's last merge; pieces that their own merges don't give back can't occur.
         self.left, self.right = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
         self.usable = np.zeros(n, bool)
@@ -58,6 +60,20 @@ class Pieces:
         self.formed = np.where(self.left >= 0, rank, -1)
         self.ids_by_length = {
             k: {p: i for p, i in self.id_of.items() if len(p) == k and self.usable[i]} for k in range(1, self.longest + 1)}
+        # The pieces as a tree of characters: (node, character) -> node, node -> piece.
+        edges: dict[tuple[int, int], int] = {}
+        self.node_piece = [-1]
+        for p, i in self.id_of.items():
+            if self.usable[i]:
+                node = 0
+                for c in p:
+                    node = edges.setdefault((node, ord(c)), len(self.node_piece))
+                    if node == len(self.node_piece):
+                        self.node_piece.append(-1)
+                self.node_piece[node] = i
+        self.node_piece = np.array(self.node_piece, np.int64)
+        self.child = A.Lookup(
+            np.array([(a << 21) + c for a, c in edges], np.int64), np.array(list(edges.values()), np.int64))
         out = [b"" for _ in range(n)]
         for p, i in self.id_of.items():
             out[i] = p.replace(chr(SPACE), " ").encode()
@@ -68,7 +84,8 @@ class Pieces:
         self.out_len = np.array([len(x) for x in out], np.int64)
         self.out_at = np.cumsum(self.out_len) - self.out_len
         self.out_bytes = np.frombuffer(b"".join(out), np.uint8)
-        self._fast: dict[int, bool] = {}
+        self._fast: dict[tuple[int, int], bool] = {}
+        self._lists = tuple(x.tolist() for x in (rank, self.formed, self.left, self.right))
 
     def merge(self, s: str) -> tuple[list[int], tuple[int, int] | None]:
         """The pieces of a short string by plain merging, and the last merge."""
@@ -85,9 +102,7 @@ class Pieces:
 
     def join_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of the piece that two neighbours would merge into; very high where there is none."""
-        key = a * self.n_pieces + b
-        at = np.minimum(np.searchsorted(self.join_keys, key), len(self.join_keys) - 1)
-        return np.where(self.join_keys[at] == key, self.join_rank[at], np.iinfo(np.int64).max)
+        return self.join_rank.get(a * self.n_pieces + b, NEVER)
 
     def fast(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether the pieces ``a`` and ``b`` may stand side by side.
@@ -101,7 +116,7 @@ class Pieces:
         ok = np.ones(len(a), bool)
         live = np.flatnonzero((a >= 0) & (b >= 0))
         x, y = a[live], b[live]
-        due = np.full(len(live), np.iinfo(np.int64).max)
+        due = np.full(len(live), NEVER)
         while len(live):
             bad = self.join_ranks(x, y) < due
             ok[live[bad]] = False
@@ -115,14 +130,25 @@ class Pieces:
         return ok
 
     def fast_pair(self, a: int, b: int) -> bool:
+        """``fast`` for one pair."""
         if a < 0 or b < 0:
             return True
-        key = a * self.n_pieces + b
-        found = self._fast.get(key)
+        found = self._fast.get((a, b))
         if found is None:
             if len(self._fast) > 500_000:
                 self._fast.clear()
-            found = self._fast[key] = bool(self.fast(np.array([a]), np.array([b]))[0])
+            rank, formed, left, right = self._lists
+            x, y, due, found = a, b, NEVER, True
+            while True:
+                joined = self.joins.get((x, y))
+                if joined is not None and rank[joined] < due:
+                    found = False
+                    break
+                fx, fy = formed[x], formed[y]
+                if fx < 0 and fy < 0:
+                    break
+                x, y, due = (right[x], y, fx) if fx > fy else (x, left[y], fy + 1)
+            self._fast[a, b] = found
         return found
 
 

@@ -27,6 +27,8 @@ from acctsentry.llm.piece_table import pieces
 
 #: Characters from which on a text is split, and those of a chunk.
 CHUNK = 1 << 15
+#: Chunks that are traced back together.
+TOGETHER = 16
 #: Pieces that are decoded at once.
 DECODE = 1 << 18
 
@@ -102,11 +104,14 @@ def encode_giants(texts: DataFrame, model: str, size: int) -> DataFrame:
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(p_schema)
         for batch in batches:
-            for i in range(len(batch)):
-                got = chunk(batch, i).trace(
-                    tuple(batch.column("enter")[i].as_py()), tuple(batch.column("leave")[i].as_py()), encoder(model).encode_text)
+            for i in range(0, len(batch), TOGETHER):
+                part = batch.slice(i, TOGETHER)
+                some = [chunk(part, k) for k in range(len(part))]
+                inner = encoder(model).encode_texts([c.inner() for c in some])
+                ends = zip(part.column("enter").to_pylist(), part.column("leave").to_pylist(), strict=True)
+                got = [c.trace(tuple(a), tuple(b), x) for c, (a, b), x in zip(some, ends, inner, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(f.name).slice(i, 1).cast(arrow.field(f.name).type) for f in key), pa.array([got], pa.list_(pa.int32()))], schema=arrow)
+                    [*(part.column(f.name).cast(arrow.field(f.name).type) for f in key), pa.array(got, pa.list_(pa.int32()))], schema=arrow)
 
     states = chunks.mapInArrow(matrices, m_schema).groupBy("id", "th").applyInPandas(combine, x_schema)
     states = states.select(*[F.col(c).alias(f"x_{c}") for c in ("id", "th", "chunk")], "enter", "leave")
