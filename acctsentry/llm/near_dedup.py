@@ -1,6 +1,6 @@
 """Near-duplicate groups with SetSketch registers.
 
-Each text's set of word shingles becomes registers: the minima of 256 hashes,
+Each text's set of word shingles becomes registers: the minima of 128 hashes,
 truncated on an exponential scale. Bands of equal registers give candidates, a
 joint likelihood over all registers drops the unlikely ones, and the full
 shingle sets decide.
@@ -20,14 +20,15 @@ from pyspark.sql import types as T
 from acctsentry.llm import arrays as A
 from acctsentry.llm.common import col, materialized, row_struct
 from acctsentry.llm.components import connected_components
+from acctsentry.llm.decontamination import filter_bits, may_have
 
 #: Registers of a sketch; the first ``BANDS * BAND`` of them form the bands.
-#: Two sets of similarity 0.8 share no band with probability (1 - 0.8**4)**40 < 1e-9.
-REGISTERS, BANDS, BAND = 256, 40, 4
+#: Two sets of similarity 0.8 share no band with probability (1 - 0.8**4)**32 < 1e-7.
+REGISTERS, BANDS, BAND = 128, 32, 4
 #: Base, rate and highest value of the registers.
 BASE, RATE, TOP = 1.001, 20.0, 65534
 #: Standard errors by which an estimate may lie under the threshold and still be verified.
-SLACK = 5.0
+SLACK = 4.5
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 1024
 
@@ -155,20 +156,33 @@ def likely_pairs(pairs: DataFrame, nodes: DataFrame, share: float) -> DataFrame:
     return both.select("a", "b", "na", "ra", "nb", "rb").mapInArrow(run, pairs.select("a", "b").schema)
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, share: float) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets are that similar."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+def full_sets(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """(node, set): the sorted shingle hashes of the wanted nodes, from their texts."""
 
     def run(data: np.ndarray, off: np.ndarray) -> dict:
         h, doc = shingles(data, off, n)
         ends = np.concatenate([[0], np.cumsum(A.per_doc(doc, len(off) - 1))])
         return {"set": [h[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]}
 
-    # The one text of each class that its node is named after.
-    chosen = nodes.join(wanted, "node", "left_semi").select("node", F.col("th").alias("want"))
-    rows = texts.join(chosen, (texts["id"] == chosen["node"]) & (texts["th"] == chosen["want"])).select("node", "text")
-    sets = A.per_text(rows, ["node"], "text", run, T.StructType([T.StructField("set", T.BinaryType())])).dropDuplicates(["node"])
-    sets = materialized(sets)
+    # The one text of each class that its node is named after. A filter of fixed
+    # size keeps most other texts from being shuffled.
+    chosen = materialized(nodes.join(wanted, "node", "left_semi").select("node", F.col("th").alias("want")))
+    bits = filter_bits(chosen.select(F.col("want").alias("h")))
+
+    def may_be_wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may_have(bits, batch.column("th").to_numpy().view(np.uint64))))
+
+    some = texts.where("text is not null").mapInArrow(may_be_wanted, texts.schema)
+    rows = some.join(chosen, (some["id"] == chosen["node"]) & (some["th"] == chosen["want"])).select("node", "text")
+    sets = A.per_text(rows, ["node"], "text", run, T.StructType([T.StructField("set", T.BinaryType())]))
+    return materialized(sets.dropDuplicates(["node"]))
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, share: float) -> DataFrame:
+    """Pairs (a, b) whose full shingle sets are that similar."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = full_sets(wanted, nodes, texts, n)
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b"))
 
@@ -185,30 +199,66 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, share
     return both.select("a", "b", "sa", "sb").mapInArrow(check, pairs.select("a", "b").schema)
 
 
-def cross_pairs(members: DataFrame, share: float) -> DataFrame:
-    """Likely pairs of different components inside each bucket.
+def dealt_out(members: DataFrame, carried: list[str]) -> DataFrame:
+    """Rows of groups in which members of different components must be compared.
 
-    ``members``: bucket, rep, node, comp, n, regs. The pairs with ``rep`` are
-    known already. In each bucket the largest component's members need not be
-    compared with one another, so only the others ("strays") are, with all;
-    both sides are dealt in blocks of ``BLOCK``, and pairs form inside a task
-    as arrays and leave it only if the sketches allow the similarity.
+    ``members``: group, node, comp and the carried columns. The members of a
+    group's largest component need not be compared with one another, so only
+    the others ("strays") are, with all. Both sides are dealt in blocks of
+    ``BLOCK`` by a hash; a task gets one block of members and one of strays
+    (columns m and s), whatever the group's size.
     """
-    rest = members.where("node <> rep")
-    sizes = rest.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
-    buckets = sizes.groupBy("bucket").agg(
+    sizes = members.groupBy("group", "comp").agg(F.count(F.lit(1)).alias("c"))
+    groups = sizes.groupBy("group").agg(
         F.max(F.struct("c", "comp"))["comp"].alias("major"), F.sum("c").alias("members"), F.max("c").alias("most"),
     ).where("members > most")
-    n_stray = F.col("members") - F.col("most")
-    joined = rest.join(buckets.select(
-        "bucket", "major", F.ceil(F.col("members") / BLOCK).cast("int").alias("mb"),
-        F.ceil(n_stray / BLOCK).cast("int").alias("sb")), "bucket")
+    joined = members.join(groups.select(
+        "group", "major", F.ceil(F.col("members") / BLOCK).cast("int").alias("mb"),
+        F.ceil((F.col("members") - F.col("most")) / BLOCK).cast("int").alias("sb")), "group")
     own = lambda k: F.pmod(F.xxhash64("node"), k)
     upto = lambda k: F.sequence(F.lit(0), F.col(k) - 1)
-    fields = ["bucket", "node", "comp", "n", "regs"]
+    fields = ["group", "node", "comp", *carried]
     as_member = joined.select(*fields, F.lit(False).alias("stray"), own(F.col("mb")).alias("m"), F.explode(upto("sb")).alias("s"))
     as_stray = joined.where("comp <> major").select(
         *fields, F.lit(True).alias("stray"), F.explode(upto("mb")).alias("m"), own(F.col("sb")).alias("s"))
+    return as_member.union(as_stray)
+
+
+def links_inside(members: DataFrame, share: float) -> DataFrame:
+    """Linked pairs across the components of a group, from full sets.
+
+    ``members``: group, node, comp, set. A task counts common shingles of its
+    strays with all its members through an index of the members' shingles.
+    """
+    node, least = dict(members.dtypes)["node"], round(share * 100)
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, comp, stray = pdf["node"].to_numpy(), pdf["comp"].to_numpy(), pdf["stray"].to_numpy(bool)
+        sets = [np.frombuffer(s, np.uint64) for s in pdf["set"]]
+        size = np.array([len(s) for s in sets])
+        others = np.flatnonzero(~stray)
+        out = [pd.DataFrame({"a": ids[:0], "b": ids[:0]})]
+        if len(others):
+            flat = np.concatenate([sets[i] for i in others])
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], np.repeat(np.arange(len(others)), size[others])[order]
+            for i in np.flatnonzero(stray):
+                lo, hi = np.searchsorted(flat, sets[i]), np.searchsorted(flat, sets[i], side="right")
+                k = hi - lo
+                at = np.arange(k.sum()) + np.repeat(lo - np.cumsum(k) + k, k)
+                common = np.bincount(owner[at], minlength=len(others))
+                j = others[(100 * common >= least * (size[others] + size[i] - common)) & (comp[others] != comp[i])]
+                if len(j):
+                    out.append(pd.DataFrame({"a": np.maximum(ids[j], ids[i]), "b": np.minimum(ids[j], ids[i])}))
+        return pd.concat(out)
+
+    return dealt_out(members, ["set"]).groupBy("group", "m", "s").applyInPandas(compare, f"a {node}, b {node}").distinct()
+
+
+def cross_pairs(members: DataFrame, share: float) -> DataFrame:
+    """Likely pairs across the components of a group: ``members`` has group,
+    node, comp, n, regs. Pairs form inside a task as arrays and leave it only
+    if the sketches allow the similarity."""
     node = dict(members.dtypes)["node"]
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -225,7 +275,7 @@ def cross_pairs(members: DataFrame, share: float) -> DataFrame:
                 out.append(pd.DataFrame({"a": np.maximum(ids[j], ids[i]), "b": np.minimum(ids[j], ids[i])}))
         return pd.concat(out)
 
-    return (as_member.union(as_stray).groupBy("bucket", "m", "s").applyInPandas(compare, f"a {node}, b {node}").distinct())
+    return dealt_out(members, ["n", "regs"]).groupBy("group", "m", "s").applyInPandas(compare, f"a {node}, b {node}").distinct()
 
 
 def near_duplicates(
@@ -250,7 +300,8 @@ def near_duplicates(
 
     Scale: equal sets are one node, so copies are never paired. In a bucket
     every node is paired with the least one only; what that leaves apart is
-    compared across components, in blocks, with the full sets as the judge.
+    compared across components, in blocks of bounded size, with the full sets
+    as the judge.
     Copies and near copies of one text therefore cost rows in proportion to
     their number. Sketches, links and component rounds are written to the
     shared folder; nothing but their counts reaches the driver.
@@ -274,12 +325,24 @@ def near_duplicates(
     links = materialized(verified(tested, nodes, texts, shingle, share))
     roots = connected_components(links)
 
-    # Buckets of two hold no other pair than the one that is tested.
-    left = (in_bucket.where("size > 2").select("bucket", "rep", "node").join(roots, "node", "left")
-            .select("bucket", "rep", "node", F.coalesce("root", "node").alias("comp")))
-    more = cross_pairs(left.join(lean, "node"), share).join(tested, ["a", "b"], "left_anti")
-    more = verified(materialized(more), nodes, texts, shingle, share)
-    roots = connected_components(materialized(links.union(more)))
+    # What stars leave apart. First inside the groups that likely pairs connect: each
+    # node is in one such group, so its full set is there to decide. (A group of
+    # two is the pair that has just been verified.)
+    groups = materialized(connected_components(tested))
+    several = groups.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where("size > 2").select("root")
+    apart = materialized(
+        groups.join(several, "root").withColumnRenamed("root", "group").join(roots, "node", "left")
+        .select("group", "node", F.coalesce("root", "node").alias("comp")))
+    open_groups = apart.groupBy("group").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("group")
+    apart = materialized(apart.join(open_groups, "group"))
+    sets = full_sets(apart.select("node"), nodes, texts, shingle)
+    inside = links_inside(apart.join(sets, "node"), share)
+    # Then between such groups, where a bucket holds members of several.
+    left = (in_bucket.where("size > 2 and node <> rep").select(F.col("bucket").alias("group"), "node").join(groups, "node", "left")
+            .select("group", "node", F.coalesce("root", "node").alias("comp")))
+    between = cross_pairs(left.join(lean, "node"), share).join(tested, ["a", "b"], "left_anti")
+    between = verified(materialized(between), nodes, texts, shingle, share)
+    roots = connected_components(materialized(links.union(inside).union(between)))
 
     labels = nodes.join(roots, "node", "left").select(
         F.col("s1").alias("l1"), F.col("s2").alias("l2"), F.coalesce("root", "node").alias("root"))
