@@ -9,9 +9,11 @@ toxic window, so length doesn't dilute it.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +28,8 @@ GRAMS = (3, 4, 5)
 WINDOW, STRIDE = 12, 4
 #: Labelled texts of each class that are fitted on at most, and the longest of them in bytes.
 SAMPLE, SAMPLE_BYTES = 3000, 1 << 16
+#: Texts, and distinct words, that the fit works on at once.
+BLOCK, PART = 256, 1 << 14
 EPOCHS, FIRST, RATE, SHRINK, SHARP, LEAST_SEEN, SEED = 60, 0.4, 0.3, 1e-6, (3.0, 10.0), 3, 7
 
 
@@ -75,34 +79,60 @@ class Words:
         bucket, begin = subwords(low, starts[at], ends[at])
         return cls(distinct, tokens.astype(np.int32), doc.astype(np.int32), bucket.astype(np.int32), begin)
 
-    @classmethod
-    def of_many(cls, data: np.ndarray, off: np.ndarray) -> Words:
-        """The same for more text than one slice holds."""
-        parts, i = [], 0
-        while i < len(off) - 1:
-            j = max(i + 1, int(np.searchsorted(off, off[i] + A.SLICE_BYTES, side="right")) - 1)
-            part = cls.of(data[off[i] : off[j]], off[i : j + 1] - off[i])
-            part.doc += np.int32(i)
-            parts.append(part)
-            i = j
-        if len(parts) < 2:
-            return parts[0] if parts else cls.of(data, off)
-        distinct, at, number = np.unique(np.concatenate([p.hashes for p in parts]), return_index=True, return_inverse=True)
-        base = np.cumsum([0, *(len(p.hashes) for p in parts)])
-        tokens = np.concatenate([number[b + p.tokens].astype(np.int32) for b, p in zip(base[:-1], parts, strict=True)])
-        room = np.cumsum([0, *(len(p.bucket) for p in parts)])
-        begin = np.concatenate([p.begin[:-1] + r for r, p in zip(room[:-1], parts, strict=True)])[at]
-        size = np.concatenate([np.diff(p.begin) for p in parts])[at]
-        upto = np.concatenate([[0], np.cumsum(size)])
-        spread = np.arange(upto[-1]) + np.repeat(begin - upto[:-1], size)
-        bucket = np.concatenate([p.bucket for p in parts])[spread]
-        return cls(distinct, tokens, np.concatenate([p.doc for p in parts]), bucket, upto)
-
     def mean(self, g: np.ndarray) -> np.ndarray:
         """Average of ``g`` over each distinct word's n-grams."""
-        if len(self.begin) < 2:
-            return np.zeros(0)
-        return np.add.reduceat(g[self.bucket], self.begin[:-1]) / np.diff(self.begin)
+        return mean(g, self.bucket, self.begin)
+
+
+def mean(g: np.ndarray, bucket: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    if len(begin) < 2:
+        return np.zeros(0)
+    return np.add.reduceat(g[bucket], begin[:-1]) / np.diff(begin)
+
+
+class Sample:
+    """Labelled texts for fitting: the distinct words of all, with ids in the
+    order of their appearance, and each block's texts as such ids."""
+
+    def __init__(self, blocks: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]]):
+        known, ids = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        buckets, sizes, n = [], [], 0
+        for data, off, label in blocks:
+            words = Words.of(data, off)
+            at = np.searchsorted(known, words.hashes)
+            new = at == len(known)
+            new[~new] = known[at[~new]] != words.hashes[~new]
+            number = np.empty(len(new), np.int32)
+            number[~new] = ids[at[~new]]
+            number[new] = np.arange(n, n + new.sum(), dtype=np.int32)
+            n += int(new.sum())
+            size = np.diff(words.begin)
+            buckets.append(words.bucket[np.repeat(new, size)])
+            sizes.append(size[new])
+            known, ids = np.concatenate([known, words.hashes[new]]), np.concatenate([ids, number[new]])
+            order = np.argsort(known, kind="stable")
+            known, ids = known[order], ids[order]
+            self.blocks.append((number[words.tokens], words.doc, label))
+        self.n_words = n
+        self.bucket = np.concatenate([np.zeros(0, np.int32), *buckets])
+        self.begin = np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *sizes]))])
+
+    def parts(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """Runs of words with their buckets: what is worked on at once."""
+        for i in range(0, self.n_words, PART):
+            begin = self.begin[i : i + PART + 1]
+            yield slice(i, i + len(begin) - 1), self.bucket[begin[0] : begin[-1]], begin - begin[0]
+
+    def words_mean(self, g: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.zeros(0), *(mean(g, bucket, begin) for _, bucket, begin in self.parts())])
+
+    def to_buckets(self, per_gram: np.ndarray) -> np.ndarray:
+        """Sums by bucket of what each n-gram of a word gets."""
+        out = np.zeros(BUCKETS)
+        for where, bucket, begin in self.parts():
+            out += np.bincount(bucket, np.repeat(per_gram[where], np.diff(begin)), BUCKETS)
+        return out
 
 
 def windows(doc: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,8 +167,9 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(out, -500, 500)))
 
 
-def fit(data: np.ndarray, off: np.ndarray, label: np.ndarray) -> Model:
-    """Embeddings and softmax, jointly, by Adagrad over all texts at once.
+def fit(blocks: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Model:
+    """Embeddings and softmax, jointly, by Adagrad over all texts at once;
+    ``blocks`` are texts (bytes, offsets) with their labels.
 
     At first each window answers for its text's label, so that what only toxic
     texts hold stands out; then a text answers by the soft maximum of its
@@ -146,52 +177,57 @@ def fit(data: np.ndarray, off: np.ndarray, label: np.ndarray) -> Model:
     N-grams found in fewer than ``LEAST_SEEN`` words of texts stay out, so
     that no single text is learnt by heart; unseen ones weigh nothing.
     """
-    n_docs = len(off) - 1
+    sample = Sample(blocks)
+    worded, in_texts, classes = [], np.zeros(sample.n_words, np.int64), np.zeros(2, np.int64)
+    for tokens, doc, label in sample.blocks:
+        lo, hi, begin = windows(doc, len(label))
+        some = np.flatnonzero(np.diff(begin))
+        classes += np.bincount(label[some], minlength=2)
+        held = np.unique(doc.astype(np.int64) * max(1, sample.n_words) + tokens) % max(1, sample.n_words)
+        in_texts += np.bincount(held, minlength=sample.n_words)
+        worded.append((tokens, lo.astype(np.int32), hi.astype(np.int32), begin[some], np.diff(begin)[some], label[some].astype(float)))
+    if not classes.all():
+        share = float(np.clip(classes[1] / max(1, classes.sum()), 1e-6, 1 - 1e-6))
+        return Model(np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share))))
+    known = sample.to_buckets(in_texts.astype(float)) >= LEAST_SEEN
+    per_word = np.diff(sample.begin)
     rng = np.random.default_rng(SEED)
-    words = Words.of_many(data, off)
-    lo, hi, begin = windows(words.doc, n_docs)
-    some = np.flatnonzero(np.diff(begin))
-    if not len(some) or label.min() == label.max():
-        share = float(np.clip(label.mean() if len(label) else 0.0, 1e-6, 1 - 1e-6))
-        return Model(np.zeros(BUCKETS), float(np.log(share / (1 - share))))
-    per_word = np.diff(words.begin)
-    n_tokens, n_words = len(words.tokens), len(per_word)
-    held = np.unique(words.doc.astype(np.int64) * n_words + words.tokens) % n_words
-    in_texts = np.bincount(held, minlength=n_words)
-    known = np.bincount(words.bucket, np.repeat(in_texts, per_word), BUCKETS) >= LEAST_SEEN
     emb = rng.normal(0, 0.1, (BUCKETS, DIM)) * known[:, None]
     soft = rng.normal(0, 0.5, DIM)
     bias, base = 0.0, 1e-8
     emb_sq, soft_sq, bias_sq = np.full(BUCKETS, base), np.full(DIM, base), base
-    y = label[some].astype(float)
-    each = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())
-    size = np.maximum(hi - lo, WINDOW // 2)
-    k = np.diff(begin)[some]
-    owner = np.repeat(np.arange(len(some)), k)
     for epoch in range(EPOCHS):
         g = emb @ soft
-        sums = np.concatenate([[0.0], np.cumsum(words.mean(g)[words.tokens])])
-        z = (sums[hi] - sums[lo]) / size + bias
-        if epoch < EPOCHS * FIRST:
-            err = (1.0 / (1.0 + np.exp(-z)) - y[owner]) * (each / k)[owner]
-        else:
-            sharp = SHARP[0] + (SHARP[1] - SHARP[0]) * epoch / EPOCHS
-            top = np.maximum.reduceat(z, begin[some])
-            part = np.exp(np.clip(sharp * (z - top[owner]), -50, 0))
-            part /= np.bincount(owner, part)[owner]
-            pooled = np.bincount(owner, part * z)
-            err = ((1.0 / (1.0 + np.exp(-pooled)) - y) * each)[owner] * part
-        back = err / size
-        edge = np.bincount(lo, back, n_tokens + 1) - np.bincount(hi, back, n_tokens + 1)
-        on_word = np.bincount(words.tokens, np.cumsum(edge)[:-1], n_words) / per_word
-        on_bucket = np.bincount(words.bucket, np.repeat(on_word, per_word), BUCKETS) * known + SHRINK * g
+        word_score, on_word, on_bias = sample.words_mean(g), np.zeros(sample.n_words), 0.0
+        for tokens, lo, hi, begin, k, y in worded:
+            if not len(k):
+                continue
+            each = 0.5 / classes[y.astype(int)]
+            owner = np.repeat(np.arange(len(k)), k)
+            size = np.maximum(hi - lo, WINDOW // 2)
+            sums = np.concatenate([[0.0], np.cumsum(word_score[tokens])])
+            z = (sums[hi] - sums[lo]) / size + bias
+            if epoch < EPOCHS * FIRST:
+                err = (1.0 / (1.0 + np.exp(-z)) - y[owner]) * (each / k)[owner]
+            else:
+                sharp = SHARP[0] + (SHARP[1] - SHARP[0]) * epoch / EPOCHS
+                top = np.maximum.reduceat(z, begin)
+                part = np.exp(np.clip(sharp * (z - top[owner]), -50, 0))
+                part /= np.bincount(owner, part)[owner]
+                pooled = np.bincount(owner, part * z)
+                err = ((1.0 / (1.0 + np.exp(-pooled)) - y) * each)[owner] * part
+            back, n = err / size, len(tokens) + 1
+            edge = np.bincount(lo, back, n) - np.bincount(hi, back, n)
+            on_word += np.bincount(tokens, np.cumsum(edge)[:-1], sample.n_words)
+            on_bias += err.sum()
+        on_bucket = sample.to_buckets(on_word / per_word) * known + SHRINK * g
         grad_soft = emb.T @ on_bucket
         emb_sq += on_bucket**2 * (soft @ soft) / DIM
         emb -= (RATE * on_bucket / np.sqrt(emb_sq))[:, None] * soft[None, :]
         soft_sq += grad_soft**2
         soft -= 0.1 * RATE * grad_soft / np.sqrt(soft_sq)
-        bias_sq += err.sum() ** 2
-        bias -= RATE * err.sum() / np.sqrt(bias_sq)
+        bias_sq += on_bias**2
+        bias -= RATE * on_bias / np.sqrt(bias_sq)
     return Model((emb @ soft).astype(np.float32), float(bias))
 
 
@@ -221,9 +257,15 @@ def train(
 
     Without labels of both classes the model gives each text the same score.
     """
-    rows = labelled_sample(docs, labels, id_col, text_col, label_col).toArrow().sort_by("id")
-    data, off = A.utf8(rows.column("text").combine_chunks())
-    return fit(data, off, rows.column("y").to_numpy().astype(np.int64))
+    rows = labelled_sample(docs, labels, id_col, text_col, label_col).toArrow()
+    order = pc.sort_indices(rows, [("id", "ascending")])
+
+    def blocks() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for i in range(0, len(order), BLOCK):
+            part = rows.take(order[i : i + BLOCK])
+            yield *A.utf8(part.column("text").combine_chunks()), part.column("y").to_numpy().astype(np.int64)
+
+    return fit(blocks())
 
 
 def score_texts(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
