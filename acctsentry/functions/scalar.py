@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acctsentry import schema as S
@@ -11,18 +11,20 @@ MICROS = 1_000_000
 DAY_US = 86_400 * MICROS
 
 
-def col(name: str) -> Column:
-    return F.col(name)
-
-
 def event_micros(ts: Column) -> Column:
     """Microseconds since the epoch of a session-zone timestamp (NULL stays)."""
     return F.unix_micros(ts)
 
 
 def amount(c: Column | None = None) -> Column:
-    """Numeric amount; NULL (or text that failed to parse) becomes 0."""
-    return F.coalesce((c if c is not None else F.col(S.AMOUNT)).cast("double"), F.lit(0.0))
+    """Numeric amount; NULL, NaN and text that is no number become 0."""
+    value = (c if c is not None else F.col(S.AMOUNT)).try_cast("double")
+    return F.coalesce(F.nanvl(value, F.lit(0.0)), F.lit(0.0))
+
+
+def amount_of(df: DataFrame) -> Column:
+    """``transaction_amount`` where a table has it, else the raw amount."""
+    return amount(F.col("transaction_amount" if "transaction_amount" in df.columns else S.AMOUNT))
 
 
 def flag_amount(t: Column) -> Column:

@@ -53,28 +53,28 @@ def _key_not_null() -> Column:
 # ---------------------------------------------------------------------------
 # Row features
 # ---------------------------------------------------------------------------
-def channel_codes(conformed: DataFrame, literal_limit: int = 10_000) -> DataFrame | dict:
-    """code = order of first appearance (by ``seq``) of each channel.
+#: File-order numbers that one task of the channel numbering covers.
+CODE_SPAN = 1 << 20
 
-    The distinct-channel table is aggregated map-side and numbered by the
-    distributed row numbering.  When it is small (size checked with a count),
-    it is returned as a dict for a literal map; otherwise as a DataFrame that
-    is joined.
-    """
-    from acctsentry.sources.views import sequence_numbers
 
+def channel_codes(conformed: DataFrame) -> DataFrame:
+    """(channel, code), the code being the order of first appearance by ``seq``.
+
+    Channels are aggregated map-side and numbered inside spans of ``seq``; the
+    spans' counts (one row per span) give each span its offset.
+    """
     firsts = (
         conformed.where(F.col(S.CHANNEL).isNotNull())
         .groupBy(S.CHANNEL)
         .agg(F.min(S.SEQ).alias("_first"))
+        .withColumn("_span", F.floor(F.col("_first") / F.lit(CODE_SPAN)))
     )
-    n = firsts.count()
-    if n <= literal_limit:
-        ordered = firsts.orderBy("_first").collect()
-        return {r[S.CHANNEL]: i for i, r in enumerate(ordered)}
-    return sequence_numbers(firsts, ["_first"], "_code1").select(
-        S.CHANNEL, (F.col("_code1") - 1).cast("int").alias("channel_encoded")
-    )
+    before = Window.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = firsts.groupBy("_span").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_span", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_span").orderBy("_first", S.CHANNEL))
+    return firsts.join(spans, "_span").select(
+        S.CHANNEL, (F.col("_before") + inside - 1).cast("int").alias("channel_encoded"))
 
 
 def prepare(raw: DataFrame) -> DataFrame:
@@ -96,14 +96,8 @@ def prepare(raw: DataFrame) -> DataFrame:
         X.is_night(hour).alias("is_night"),
         X.event_micros(ts).alias("_us"),
     )
-    codes = channel_codes(df)
-    if isinstance(codes, dict):
-        code = S.map_literal(codes)[F.col(S.CHANNEL)] if codes else F.lit(None)
-        df = df.withColumn("channel_encoded", F.coalesce(code.cast("int"), F.lit(0)))
-    else:
-        df = df.join(codes, S.CHANNEL, "left").withColumn(
-            "channel_encoded", F.coalesce(F.col("channel_encoded"), F.lit(0))
-        )
+    df = df.join(channel_codes(df), S.CHANNEL, "left").withColumn(
+        "channel_encoded", F.coalesce("channel_encoded", F.lit(0)))
     df = df.withColumn("_us_sort", F.coalesce(F.col("_us"), F.lit(US_SORT_NULL)))
     df = _null_safe(df, S.CUSTOMER, "_k0", "_k1")
     df = _null_safe(df, S.ACCOUNT, "_k2", "_k3")

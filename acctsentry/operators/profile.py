@@ -35,7 +35,7 @@ def account_profile(txn: DataFrame) -> DataFrame:
     ``user_std_display`` is 0 for a one-row account (shown limits);
     ``user_std_decision`` is 2000 for it (what the decision uses).
     """
-    amt = X.amount()
+    amt = X.amount_of(txn)
     prof = (
         txn.where(F.col(S.CUSTOMER).isNotNull() & F.col(S.ACCOUNT).isNotNull())
         .groupBy(*K)
@@ -77,7 +77,7 @@ def month_to_date(txn: DataFrame, as_of: Column) -> DataFrame:
         .groupBy(*K)
         .agg(
             F.coalesce(
-                F.sum(F.when(in_month_of(F.col(S.CREATED), as_of), X.amount())), F.lit(0.0)
+                F.sum(F.when(in_month_of(F.col(S.CREATED), as_of), X.amount_of(txn))), F.lit(0.0)
             ).alias("month_to_date")
         )
     )
@@ -101,7 +101,7 @@ def history_totals(history: DataFrame, log: DataFrame, as_of: Column) -> DataFra
     hist = history.select(
         F.col(S.CUSTOMER).cast("long").alias("CustomerID"),
         F.col(S.ACCOUNT).cast("string").alias("FromAccountNo"),
-        X.amount().alias("Amount"),
+        X.amount_of(history).alias("Amount"),
         F.col(S.CREATED).alias("Timestamp"),
         F.lit(1).alias("_stored"),
     )

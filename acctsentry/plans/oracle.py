@@ -376,6 +376,10 @@ FROM p CROSS JOIN t"""
     q["decision_log"] = decision_log_cte() + (
         " SELECT CustomerID, FromAccountNo, round(Amount, 6) AS Amount, Type, Status, Timestamp FROM dlog"
     )
+    q["decision_log_csv"] = decision_log_cte() + (
+        " SELECT CustomerID, CAST(NULL AS VARCHAR) AS FromAccountNo, round(Amount, 6) AS Amount, Type, Status, Timestamp,"
+        " CAST(CAST(Timestamp AS DATE) AS VARCHAR) AS log_date FROM dlog"
+    )
     q["history_totals"] = decision_log_cte() + """,
 as_of_t AS (SELECT max(CreateDate) AS a FROM src),
 both_rows AS (
@@ -432,9 +436,10 @@ SELECT seq, CAST(c10 AS BIGINT) AS live_txn_count_10min, CAST(c1h AS BIGINT) AS
   CAST(sc AS BIGINT) AS session_count
 FROM v"""
     q["transactions_csv"] = (
-        "WITH src AS (" + TXN_EVENTS + ") SELECT seq, CAST(CustomerId AS VARCHAR) AS CustomerId,"
+        "WITH src AS (" + TXN_EVENTS + ") SELECT row_number() OVER (ORDER BY seq) AS seq, CAST(CustomerId AS VARCHAR) AS CustomerId,"
         " CAST(FromAccountNo AS VARCHAR) AS FromAccountNo, CAST(ReceipentAccount AS VARCHAR) AS ReceipentAccount,"
-        " round(AmountInAed, 6) AS AmountInAed, TransferType, ChannelId, BankCountry, CreateDate FROM src"
+        " round(AmountInAed, 6) AS AmountInAed, TransferType, ChannelId, CAST(NULL AS VARCHAR) AS BankCountry,"
+        " CreateDate FROM src"
     )
     q["approved_velocity"] = approved
     q["live_stream"] = approved

@@ -62,10 +62,7 @@ def q_row_features(spark, sf):
 
 
 def q_channel_codes(spark, sf):
-    codes = FE.channel_codes(S.conform(_lineitem(spark, sf)))
-    if isinstance(codes, dict):
-        return spark.createDataFrame(sorted(codes.items()), "ChannelId string, channel_encoded int")
-    return codes
+    return FE.channel_codes(S.conform(_lineitem(spark, sf)))
 
 
 def q_account_stats(spark, sf):
@@ -312,13 +309,15 @@ def q_decision_log(spark, sf):
 
 
 def q_transactions_csv(spark, sf):
-    """Transfers written as CSV text with a header, read back with the
-    fixed text schema and coerced by conform() (dates and amounts from text)."""
+    """Transfers written as CSV in another column order, without ``seq``
+    and without the country, in file order; read back by header name, numbered
+    and coerced by conform() (dates and amounts from text)."""
     from acctsentry.session import scratch_path
     from acctsentry.sources.transactions import read_transactions
 
     path = scratch_path(spark, "txn-csv")
-    txn = _events(spark, sf).drop("Status")
+    txn = _events(spark, sf).repartitionByRange(4, S.SEQ).sortWithinPartitions(S.SEQ).select(
+        S.CREATED, S.CHANNEL, S.CUSTOMER, S.TRANSFER_TYPE, S.ACCOUNT, S.AMOUNT, S.BENEFICIARY)
     (txn.write.mode("overwrite").option("header", True)
         .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
     back = read_transactions(spark, path, fmt="csv")
@@ -328,6 +327,20 @@ def q_transactions_csv(spark, sf):
     )
 
 
+def q_decision_log_csv(spark, sf):
+    """A log in the published layout (no account), read by header name."""
+    from acctsentry.session import scratch_path
+    from acctsentry.sources.decision_log import read_log
+
+    path = scratch_path(spark, "log-csv")
+    log = PR.decision_log_from(_rule_rows(spark, sf).withColumn("is_fraud", F.col("violated")))
+    (log.select("CustomerID", "Amount", "Type", "Status", "Timestamp").write.option("header", True)
+        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path))
+    back = read_log(spark, path, fmt="csv")
+    return back.select("CustomerID", "FromAccountNo", r6("Amount"), "Type", "Status",
+                       F.col("Timestamp").cast("timestamp_ntz").alias("Timestamp"), F.col("log_date").cast("string").alias("log_date"))
+
+
 def q_feature_table(spark, sf):
     return _feature_cols(spark, sf, "events", FEATURE_TABLE_COLS)
 
@@ -343,6 +356,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customer_stats": q_customer_stats,
     **{name: _make_feature_query(view, cols) for name, (view, cols) in BUCKET_COLS.items()},
     "transactions_csv": q_transactions_csv,
+    "decision_log_csv": q_decision_log_csv,
     "feature_table": q_feature_table,
     "feature_table_lineitem": q_feature_table_lineitem,
     "account_profile": q_account_profile,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,7 +28,12 @@ def get_spark(master: str | None = None, app: str = "acctsentry", **conf) -> Spa
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {"spark.ui.enabled": "false", **ENGINE_CONF, **conf}
+    settings = {
+        "spark.ui.enabled": "false",
+        # checkpoint files go with the frames that they belong to
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        **ENGINE_CONF, **conf,
+    }
     for k, v in settings.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -36,26 +42,25 @@ def get_spark(master: str | None = None, app: str = "acctsentry", **conf) -> Spa
 
 
 def apply_engine_conf(spark: SparkSession) -> None:
-    """Apply the runtime-settable engine settings to an existing session."""
+    """Apply the engine settings that an existing session lets change."""
     for k, v in ENGINE_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: keep what is there
-            pass
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (tests
-    on one machine) a folder under the system temp dir is set.
+    Read from ``spark.checkpoint.dir``. Where it is unset, a session that runs
+    in one JVM (tests, a laptop) gets a temporary folder; on a cluster, where
+    executors would not share such a folder, this raises ``ValueError``.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        import tempfile
-
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="acctsentry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
