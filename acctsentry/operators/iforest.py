@@ -1,9 +1,8 @@
 """Isolation forest (M3-M5, A17) on Spark.
 
-Training: each tree gets ``psi = min(256, n)`` rows drawn without
-replacement by the rank of ``xxhash64(seq, tree, seed)``; only rows whose hash
-falls under an oversampled cutoff are exploded, so the sample costs one pass
-and never replicates the table.  Every tree is grown in its own
+Training: one pass draws a pool of rows by a hash, whose size the parameters
+fix; each tree gets ``psi = min(256, n)`` of them without replacement, by the
+rank of ``xxhash64(seq, tree, seed)``.  Every tree is grown in its own
 ``applyInPandas`` group (psi rows, bounded).  The node table (trees x at most
 2 psi - 1 nodes, a bound fixed by the parameters) is small enough to ship to
 every task, and scoring runs vectorised with ``mapInPandas``.
@@ -16,6 +15,7 @@ the training scores; negative means anomaly (prediction -1).
 
 from __future__ import annotations
 
+import logging
 import math
 from dataclasses import dataclass
 
@@ -26,6 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acctsentry import schema as S
+from acctsentry.operators.artifacts import if_there
+from acctsentry.operators.quantile import exact_quantile
+from acctsentry.session import checkpoint_root
+
+logger = logging.getLogger(__name__)
 
 NODE_SCHEMA = T.StructType(
     [
@@ -86,6 +91,25 @@ class Forest:
         return feat, split, left, right, size, depth
 
 
+    def scorer(self):
+        """A function from a matrix of scaled rows to their scores."""
+        arrays, denom = self.arrays(), float(avg_path_length(np.array([self.psi]))[0]) or 1.0
+
+        def score(X: np.ndarray) -> np.ndarray:
+            mean_path = _path_lengths(X, arrays).mean(axis=1) if len(X) else np.zeros(0)
+            return -np.power(2.0, -mean_path / denom)
+
+        return score
+
+
+def missing_features(matrix: DataFrame, features: list[str], model: str) -> list[str]:
+    """M2: features that the rows lack; a model gives such rows no score."""
+    missing = [f for f in features if f not in matrix.columns]
+    if missing:
+        logger.warning("%s: no score, %d features are missing: %s", model, len(missing), missing[:5])
+    return missing
+
+
 def _grow(pdf: pd.DataFrame, features: list[str], psi: int, seed: int) -> pd.DataFrame:
     tree = int(pdf["tree"].iloc[0])
     X = pdf[features].to_numpy(dtype=float)
@@ -117,22 +141,24 @@ def _grow(pdf: pd.DataFrame, features: list[str], psi: int, seed: int) -> pd.Dat
     return pd.DataFrame(rows, columns=[f.name for f in NODE_SCHEMA.fields])
 
 
-def tree_samples(matrix: DataFrame, n: int, psi: int, n_trees: int, seed: int, oversample: float) -> DataFrame:
-    """(tree, features...) with exactly psi rows per tree, or fewer when the
-    oversampled cutoff let too few through (the caller retries)."""
-    p = min(1.0, oversample * psi / max(n, 1))
-    cutoff = int(p * (2**63 - 1)) if p < 1.0 else 2**63 - 1
-    mask = F.lit(0x7FFFFFFFFFFFFFFF).cast("long")
-    draws = F.transform(
-        F.sequence(F.lit(0), F.lit(n_trees - 1)),
-        lambda t: F.struct(t.alias("tree"), F.xxhash64(F.col(S.SEQ), t, F.lit(seed)).bitwiseAND(mask).alias("h")),
-    )
-    kept = F.filter(draws, lambda s: s["h"] <= F.lit(cutoff))
-    picked = matrix.select("*", F.explode(kept).alias("_d")).select(
-        "*", F.col("_d.tree").alias("tree"), F.col("_d.h").alias("_h")
-    ).drop("_d")
+#: Rows of the pool that trees draw from, as a multiple of a tree's rows.
+POOL = 64
+
+
+def sample_pool(matrix: DataFrame, n: int, psi: int, seed: int) -> DataFrame:
+    """About ``POOL * psi`` rows of the table (all, if it has fewer), drawn by a
+    hash of ``seq`` in one pass and kept: its size doesn't follow the table's."""
+    unit = F.pmod(F.xxhash64(F.lit(seed), S.SEQ), F.lit(1 << 53)) / float(1 << 53)
+    checkpoint_root(matrix.sparkSession)
+    return matrix.where(unit < F.lit(POOL * psi / max(n, 1))).checkpoint(eager=True)
+
+
+def tree_samples(pool: DataFrame, psi: int, n_trees: int, seed: int) -> DataFrame:
+    """(tree, features...): for each tree ``psi`` rows of the pool, by rank of a hash."""
+    drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1)))).withColumn(
+        "_h", F.xxhash64(S.SEQ, "tree", F.lit(seed)))
     rank = F.row_number().over(Window.partitionBy("tree").orderBy("_h", S.SEQ))
-    return picked.withColumn("_r", rank).where(F.col("_r") <= psi).drop("_r", "_h")
+    return drawn.withColumn("_r", rank).where(F.col("_r") <= psi).drop("_r", "_h")
 
 
 def train_iforest(
@@ -146,27 +172,16 @@ def train_iforest(
     """M3 on a scaled matrix with ``seq`` and the feature columns."""
     n = matrix.count()
     psi = min(max_samples, n)
-    oversample = 3.0
-    while True:
-        sample = tree_samples(matrix, n, psi, n_estimators, seed, oversample)
-        sizes = sample.groupBy("tree").count().collect()
-        if len(sizes) == n_estimators and all(r["count"] == psi for r in sizes):
-            break
-        if oversample * psi >= n:  # the cutoff already keeps every row
-            break
-        oversample *= 2
     nodes = (
-        sample.select("tree", *features)
+        tree_samples(sample_pool(matrix, n, psi, seed), psi, n_estimators, seed)
+        .select("tree", *features)
         .groupBy("tree")
         .applyInPandas(lambda pdf: _grow(pdf, features, psi, seed), NODE_SCHEMA)
         .toPandas()  # bounded: n_estimators x (2 psi - 1) rows
     )
     forest = Forest(nodes, list(features), psi, 0.0, contamination, n_estimators, n)
-    scored = score_samples(matrix, forest)
-    offset = scored.agg(
-        F.percentile_approx("score_sample", F.lit(contamination), F.lit(100_000)).alias("q")
-    ).first()["q"]
-    forest.offset = float(offset)
+    scored = score_samples(matrix, forest, keep=[]).checkpoint(eager=True)
+    forest.offset = exact_quantile(scored, "score_sample", contamination)
     return forest
 
 
@@ -189,21 +204,20 @@ def _path_lengths(X: np.ndarray, arrays) -> np.ndarray:
 
 def score_samples(matrix: DataFrame, forest: Forest, keep: list[str] | None = None) -> DataFrame:
     """``score_sample`` = -2^(-E[h(x)] / c(psi)) (higher is more normal)."""
-    arrays = forest.arrays()
     feats = forest.features
-    denom = float(avg_path_length(np.array([forest.psi]))[0]) or 1.0
     keep = keep if keep is not None else [c for c in matrix.columns]
+    if missing_features(matrix, feats, "isolation forest"):
+        return matrix.select(*keep, F.lit(None).cast("double").alias("score_sample"))
+    score = forest.scorer()
     out_schema = T.StructType([matrix.schema[c] for c in keep] + [T.StructField("score_sample", T.DoubleType())])
 
     def run(batches):
         for pdf in batches:
-            X = pdf[feats].to_numpy(dtype=float)
-            mean_path = _path_lengths(X, arrays).mean(axis=1) if len(X) else np.zeros(0)
             out = pdf[keep].copy()
-            out["score_sample"] = -np.power(2.0, -mean_path / denom)
+            out["score_sample"] = score(pdf[feats].to_numpy(dtype=float))
             yield out
 
-    return matrix.mapInPandas(run, out_schema)
+    return matrix.select(*dict.fromkeys([*keep, *feats])).mapInPandas(run, out_schema)
 
 
 def score_iforest(matrix: DataFrame, forest: Forest, keep: list[str] | None = None) -> DataFrame:
@@ -242,7 +256,7 @@ def validate_iforest(scored: DataFrame, expected_rate: float, tolerance: float =
     sample = scored.orderBy(S.SEQ).limit(1000)
     rate = sample.agg(F.avg((F.col("prediction") == -1).cast("double")).alias("r")).first()["r"]
     if rate is None or abs(rate - expected_rate) > tolerance:
-        raise ValueError(f"Validation failed: anomaly rate {rate} vs expected {expected_rate}")
+        raise ValueError(f"the sample's share of anomalies is {rate}; the training's was {expected_rate}")
     return float(rate)
 
 
@@ -257,11 +271,10 @@ def save_forest(spark, forest: Forest, path: str) -> None:
 
 
 def load_forest(spark, path: str) -> Forest | None:
-    """S8 read; a missing or broken artifact gives None (leg off)."""
-    try:
-        m = spark.read.parquet(f"{path}/meta").first()
-        nodes = spark.read.parquet(f"{path}/nodes").toPandas()
-    except Exception:
+    """S8 read; a missing artifact gives None (leg off)."""
+    tables = if_there(lambda: (spark.read.parquet(f"{path}/meta"), spark.read.parquet(f"{path}/nodes")))
+    if tables is None:
         return None
+    m, nodes = tables[0].first(), tables[1].toPandas()
     return Forest(nodes, list(m["features"]), m["psi"], m["offset"], m["contamination"],
                   m["n_estimators"], m["n_samples"])

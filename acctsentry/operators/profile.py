@@ -83,6 +83,15 @@ def month_to_date(txn: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
+def month_totals(txn: DataFrame) -> DataFrame:
+    """A13 for every month: (account key, month, stored_month)."""
+    return (
+        txn.where(F.col(S.CUSTOMER).isNotNull() & F.col(S.ACCOUNT).isNotNull() & F.col(S.CREATED).isNotNull())
+        .groupBy(*K, F.date_trunc("month", S.CREATED).cast("date").alias("month"))
+        .agg(F.sum(X.amount_of(txn)).alias("stored_month"))
+    )
+
+
 def decision_log_from(decisions: DataFrame) -> DataFrame:
     """S4 rows from decided transfers: status Approved or Rejected."""
     return decisions.select(

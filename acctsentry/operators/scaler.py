@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctsentry import schema as S
+from acctsentry.operators.artifacts import if_there
 
 EPS = float(np.finfo(np.float64).eps)
 
@@ -54,3 +55,13 @@ def apply_scaler(matrix: DataFrame, scaler: DataFrame, keep: list[str] | None =
         *keep,
         *[((F.col(f) - F.lit(float(m))) / F.lit(float(s))).alias(f) for f, m, s in zip(feats, mean, scale)],
     )
+
+
+def save_scaler(scaler: DataFrame, path: str) -> None:
+    """One row per feature (position, feature, mean, scale)."""
+    scaler.coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_scaler(spark: SparkSession, path: str) -> DataFrame | None:
+    """S7 read; a missing artifact gives None."""
+    return if_there(lambda: spark.read.parquet(path))

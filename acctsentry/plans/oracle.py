@@ -318,6 +318,28 @@ p AS (
 )"""
 
 
+def live_cte() -> str:
+    """Rows in the order in which the replay's files bring them, each with what
+    arrived before it (pairs of rows of one account)."""
+    return """
+WITH src AS (""" + TXN_EVENTS + """),
+r AS (SELECT min(CreateDate) AS lo, greatest(1, CAST(floor(epoch(max(CreateDate) - min(CreateDate))) AS BIGINT) // 3 + 1) AS w FROM src),
+b AS (
+  SELECT seq, CustomerId, FromAccountNo, TransferType AS typ, epoch_us(CreateDate) AS us, COALESCE(AmountInAed, 0.0) AS amt,
+         date_trunc('month', CreateDate) AS mon, Status IN ('Approved', 'Force Approved') AS ap,
+         least(CAST(floor(epoch(CreateDate - lo) / w) AS BIGINT) + (seq % 5 = 0)::INT, 3) AS arr
+  FROM src, r),
+lv AS (
+  SELECT x.seq, x.CustomerId, x.FromAccountNo, x.typ, x.us, x.amt, x.mon,
+    count(y.seq) FILTER (WHERE y.us <= x.us AND y.us > x.us - 600000000) + 1 AS c10,
+    count(y.seq) FILTER (WHERE y.us <= x.us AND y.us > x.us - 3600000000) + 1 AS c1h,
+    max(y.us) FILTER (WHERE y.us <= x.us) AS last, count(y.seq) AS sc,
+    COALESCE(sum(y.amt) FILTER (WHERE y.mon = x.mon), 0.0) AS spent
+  FROM b x LEFT JOIN b y ON x.CustomerId = y.CustomerId AND x.FromAccountNo = y.FromAccountNo AND y.ap
+    AND (y.arr, y.us, y.seq) < (x.arr, x.us, x.seq)
+  GROUP BY ALL)"""
+
+
 def queries_sql() -> dict[str, str]:
     from acctsentry.plans.queries import BUCKET_COLS, FEATURE_TABLE_COLS
 
@@ -413,11 +435,14 @@ GROUP BY CustomerID, FromAccountNo"""
     q["scaled_features"] = scaled_features_sql()
     approved = """
 WITH src AS (""" + TXN_EVENTS + """),
-b AS (SELECT seq, CustomerId, FromAccountNo, epoch_us(CreateDate) AS us,
+b AS (SELECT seq, CustomerId, FromAccountNo, epoch_us(CreateDate) AS us, COALESCE(AmountInAed, 0.0) AS amt,
+             date_trunc('month', CreateDate) AS mon,
              CASE WHEN Status IN ('Approved', 'Force Approved') THEN 1 ELSE 0 END AS ap
       FROM src WHERE CustomerId IS NOT NULL AND FromAccountNo IS NOT NULL AND CreateDate IS NOT NULL),
 v AS (
   SELECT seq,
+    COALESCE(sum(amt * ap) OVER (PARTITION BY CustomerId, FromAccountNo, mon ORDER BY us, seq
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS spent,
     COALESCE(sum(ap) OVER (PARTITION BY CustomerId, FromAccountNo ORDER BY us
                            RANGE BETWEEN 599999999 PRECEDING AND CURRENT ROW), 0)
     - COALESCE(sum(ap) OVER (PARTITION BY CustomerId, FromAccountNo, us ORDER BY seq
@@ -433,7 +458,7 @@ v AS (
   FROM b)
 SELECT seq, CAST(c10 AS BIGINT) AS live_txn_count_10min, CAST(c1h AS BIGINT) AS live_txn_count_1hour,
   round(CASE WHEN gap_us IS NULL THEN 3600.0 ELSE gap_us / 1000000.0 END, 6) AS live_time_since_last,
-  CAST(sc AS BIGINT) AS session_count
+  CAST(sc AS BIGINT) AS session_count, round(spent, 6) AS session_month_spending
 FROM v"""
     q["transactions_csv"] = (
         "WITH src AS (" + TXN_EVENTS + ") SELECT row_number() OVER (ORDER BY seq) AS seq, CAST(CustomerId AS VARCHAR) AS CustomerId,"
@@ -442,7 +467,38 @@ FROM v"""
         " CreateDate FROM src"
     )
     q["approved_velocity"] = approved
-    q["live_stream"] = approved
+    live = live_cte()
+    q["live_stream"] = live + """
+SELECT seq, CAST(c10 AS BIGINT) AS live_txn_count_10min, CAST(c1h AS BIGINT) AS live_txn_count_1hour,
+  round(COALESCE((us - last) / 1000000.0, 3600.0), 6) AS live_time_since_last,
+  CAST(sc AS BIGINT) AS session_count, round(spent, 6) AS session_month_spending
+FROM lv"""
+    q["live_decisions"] = live + """,
+pr AS (
+  SELECT CustomerId, FromAccountNo, avg(AmountInAed) AS a, count(*) AS n, stddev_samp(AmountInAed) AS sd
+  FROM src WHERE seq % 2 = 0 GROUP BY CustomerId, FromAccountNo),
+st AS (
+  SELECT CustomerId, FromAccountNo, date_trunc('month', CreateDate) AS mon, sum(AmountInAed) AS stored
+  FROM src WHERE seq % 2 = 0 GROUP BY ALL),
+j AS (
+  SELECT lv.*, COALESCE(pr.a, 5000.0) AS a, CASE WHEN pr.n > 1 THEN pr.sd ELSE 2000.0 END AS sd,
+         COALESCE(st.stored, 0.0) + lv.spent AS cms
+  FROM lv LEFT JOIN pr USING (CustomerId, FromAccountNo) LEFT JOIN st USING (CustomerId, FromAccountNo, mon)),
+th AS (
+  SELECT j.*, greatest(a + CASE typ WHEN 'S' THEN 2.0 WHEN 'Q' THEN 2.5 WHEN 'L' THEN 3.0 WHEN 'I' THEN 3.5 WHEN 'O' THEN 4.0 ELSE 3.0 END * sd,
+                       CASE typ WHEN 'S' THEN 5000.0 WHEN 'Q' THEN 3000.0 WHEN 'L' THEN 2000.0 WHEN 'I' THEN 1500.0 WHEN 'O' THEN 1000.0 ELSE 2000.0 END) AS threshold
+  FROM j),
+n AS (SELECT th.*, (c10 > 5)::INT + (c1h > 15)::INT + (cms + amt > threshold)::INT AS k FROM th)
+SELECT seq, k > 0 AS is_fraud, CAST(k AS BIGINT) AS n_reasons, round(threshold, 6) AS threshold, round(cms, 6) AS current_month_spending FROM n"""
+    zero = ["prediction_is_not_sign", "risk_is_not_negated", "ml_flag_is_wrong", "ae_flag_is_wrong", "fraud_is_not_or_of_legs",
+            "reasons_out_of_order", "ml_reason_is_missing", "loaded_scores_differ"]
+    true = ["rate_is_near_contamination", "threshold_is_mean_plus_3_std", "config_is_complete", "ae_validates", "forest_rates_known"]
+    q["model_checks"] = "SELECT count(*) AS n_rows, " + ", ".join(
+        [f"CAST(0 AS BIGINT) AS {c}" for c in zero] + [f"true AS {c}" for c in true]) + " FROM events"
+    q["missing_features"] = "WITH " + _features_ctes(TXN_EVENTS) + RULES_CTE + (
+        " SELECT seq, len(reasons) > 0 AS is_fraud, false AS ml_flag, false AS ae_flag,"
+        " CAST(NULL AS DOUBLE) AS ae_reconstruction_error, CAST(0.0 AS DOUBLE) AS risk_score FROM rules2"
+    )
     return {k: _ieee_round6(v) for k, v in q.items()}
 
 

@@ -251,50 +251,149 @@ def q_ae_threshold_report(spark, sf):
     return AE.threshold_table(errors).drop("computed_at")
 
 
-def q_hybrid_decisions(spark, sf):
+def _decided(spark, sf):
+    """All rows decided by rules and both models, the feature table computed
+    once; and what the models were."""
     from acctsentry.operators import autoencoder as AE
     from acctsentry.operators import iforest as IF
-    from acctsentry.operators.decision import decide
+    from acctsentry.operators.decision import decide, score_models
+    from acctsentry.operators.scaler import apply_scaler, fit_scaler
+    from acctsentry.session import checkpoint_root
 
-    scaled, forest = _trained(spark, sf)
-    ae = AE.train_autoencoder(scaled)
-    errs = AE.score_errors(scaled, ae, keep=[S.SEQ]).checkpoint(eager=True)
-    cfg = AE.compute_threshold(errs)
-    ae_leg = AE.score_autoencoder(errs, cfg["threshold"]).select(
-        S.SEQ, "reconstruction_error", F.col("threshold").alias("ae_threshold"),
-        F.col("is_anomaly").alias("ae_is_anomaly"), F.col("reason").alias("ae_reason"),
-    )
-    if_leg = IF.score_iforest(scaled, forest, keep=[S.SEQ]).select(S.SEQ, "anomaly_score", "prediction")
-    rules = _rule_rows(spark, sf).select(S.SEQ, *K, "violated", "reasons", "threshold")
-    rows = rules.join(if_leg, S.SEQ, "left").join(ae_leg, S.SEQ, "left")
-    out = decide(rows)
+    checkpoint_root(spark)
+    rules = _rule_rows(spark, sf).select(S.SEQ, *K, "violated", "reasons", "threshold", *S.MODEL_FEATURES).checkpoint(eager=True)
+    matrix = FE.model_matrix(rules)
+    scaler = fit_scaler(matrix).checkpoint(eager=True)
+    scaled = apply_scaler(matrix, scaler).checkpoint(eager=True)
+    forest, ae = IF.train_iforest(scaled), AE.train_autoencoder(scaled)
+    ae.threshold_cfg = AE.compute_threshold(AE.score_errors(scaled, ae, keep=[S.SEQ]))
+    ae.threshold = ae.threshold_cfg["threshold"]
+    scored = score_models(rules, scaler, forest, ae).checkpoint(eager=True)
+    return scored, decide(scored), scaler, scaled, forest, ae
+
+
+def q_hybrid_decisions(spark, sf):
+    out = _decided(spark, sf)[1]
     return out.select(
         S.SEQ, *K, "is_fraud", F.array_join("reasons", " | ").alias("reasons"), r6("risk_score"),
         r6("threshold"), "ml_flag", "ae_flag", r6("ae_reconstruction_error"), r6("ae_threshold"),
     )
 
 
+def q_model_checks(spark, sf):
+    """What the models' results must satisfy, as counts
+    of rows that break it; artifacts saved, loaded and compared."""
+    from acctsentry.operators import autoencoder as AE
+    from acctsentry.operators import iforest as IF
+    from acctsentry.operators.decision import score_models
+    from acctsentry.operators.scaler import load_scaler, save_scaler
+    from acctsentry.session import scratch_path
+
+    scored, decided, scaler, scaled, forest, ae = _decided(spark, sf)
+    path = scratch_path(spark, "models")
+    save_scaler(scaler, f"{path}/scaler")
+    IF.save_forest(spark, forest, f"{path}/forest")
+    AE.save_autoencoder(spark, ae, f"{path}/ae", ae.threshold_cfg)
+    again = score_models(
+        scored.select(S.SEQ, *S.MODEL_FEATURES), load_scaler(spark, f"{path}/scaler"), IF.load_forest(spark, f"{path}/forest"),
+        AE.load_autoencoder(spark, f"{path}/ae")).select(
+        S.SEQ, F.col("anomaly_score").alias("a2"), F.col("reconstruction_error").alias("e2"))
+    rows = decided.join(scored.select(
+        S.SEQ, "anomaly_score", "prediction", "violated", "reconstruction_error", F.col("reasons").alias("rule_reasons"),
+        "ae_is_anomaly", "ae_reason"), S.SEQ).join(again, S.SEQ)
+    errors = scored.agg(F.avg("reconstruction_error"), F.stddev_pop("reconstruction_error")).first()
+    want_threshold = errors[0] + S.AE_K * errors[1]
+    parts = F.concat(
+        F.when(F.col("violated"), F.col("rule_reasons")).otherwise(F.array().cast("array<string>")),
+        F.filter(F.col("reasons"), lambda r: r.startswith("ML anomaly detected")),
+        F.when(F.col("ae_is_anomaly"), F.array("ae_reason")).otherwise(F.array().cast("array<string>")))
+    broken = {
+        "prediction_is_not_sign": F.col("prediction") != F.when(F.col("anomaly_score") < 0, -1).otherwise(1),
+        "risk_is_not_negated": F.col("risk_score") != -F.col("anomaly_score"),
+        "ml_flag_is_wrong": F.col("ml_flag") != (F.col("prediction") == -1),
+        "ae_flag_is_wrong": F.col("ae_flag") != (F.col("reconstruction_error") > F.lit(ae.threshold)),
+        "fraud_is_not_or_of_legs": F.col("is_fraud") != (F.col("violated") | F.col("ml_flag") | F.col("ae_flag")),
+        "reasons_out_of_order": F.col("reasons") != parts,
+        "ml_reason_is_missing": F.exists("reasons", lambda r: r.startswith("ML anomaly detected")) != F.col("ml_flag"),
+        "loaded_scores_differ": (F.abs(F.col("a2") - F.col("anomaly_score")) > 1e-9) | (F.abs(F.col("e2") - F.col("reconstruction_error")) > 1e-9),
+    }
+    out = rows.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[F.sum(F.coalesce(c, F.lit(True)).cast("long")).alias(k) for k, c in broken.items()],
+        (F.abs(F.avg((F.col("prediction") == -1).cast("double")) - S.IFOREST_CONTAMINATION) <= 0.02).alias("rate_is_near_contamination"))
+    first = scored.orderBy(S.SEQ).limit(1000)
+    mean = first.agg(F.avg("reconstruction_error")).first()[0]
+    off = AE.validate_autoencoder(spark, f"{path}/ae", scaled, mean)
+    rate = scored.agg(F.avg((F.col("prediction") == -1).cast("double"))).first()[0]
+    sample_rate = first.agg(F.avg((F.col("prediction") == -1).cast("double"))).first()[0]
+    return out.withColumns({
+        "threshold_is_mean_plus_3_std": F.lit(abs(ae.threshold - want_threshold) <= 1e-9 * abs(want_threshold)),
+        "config_is_complete": F.lit(set(ae.threshold_cfg) == {"threshold", "mean", "std", "k", "computed_at", "n_samples", "n_features"}),
+        "ae_validates": F.lit(off <= 0.01),
+        "forest_rates_known": F.lit(0.0 <= sample_rate <= 1.0 and 0.0 < rate < 0.1),
+    })
+
+
+def q_missing_features(spark, sf):
+    """M2: rows that lack a model feature get no score and no flag."""
+    from acctsentry.operators.decision import decide, score_models
+
+    scored, _, scaler, _, forest, ae = _decided(spark, sf)
+    rows = scored.select(S.SEQ, "violated", "reasons", "threshold", *[f for f in S.MODEL_FEATURES if f != "hourly_count"])
+    out = decide(score_models(rows, scaler, forest, ae))
+    return out.select(S.SEQ, "is_fraud", "ml_flag", "ae_flag", r6("ae_reconstruction_error"), r6("risk_score"))
+
+
 def q_approved_velocity(spark, sf):
     from acctsentry.streaming.live import approved_velocity
 
     return approved_velocity(_events(spark, sf)).select(
-        S.SEQ, "live_txn_count_10min", "live_txn_count_1hour", r6("live_time_since_last"), "session_count"
+        S.SEQ, "live_txn_count_10min", "live_txn_count_1hour", r6("live_time_since_last"), "session_count",
+        r6("session_month_spending"),
     )
 
 
-def q_live_stream(spark, sf):
-    """The events table replayed through the stateful stream."""
+#: Files that the live replay is written in: a fifth of the rows comes one file late.
+LIVE_FILES = 4
+
+
+def _live_replay(spark, sf) -> DataFrame:
+    """The events table replayed in files that are out of order inside the watermark."""
     from acctsentry.session import scratch_path
     from acctsentry.streaming import live as L
 
     root = scratch_path(spark, "live")
-    L.run_to_sink(L.live_state_stream(L.events_stream(spark, sf)), f"{root}/out", f"{root}/ckpt")
-    out = spark.read.schema(L.LIVE_SCHEMA).parquet(f"{root}/out")
-    return out.select(
-        S.SEQ, "live_txn_count_10min", "live_txn_count_1hour", r6("live_time_since_last"), "session_count"
+    txn = _events(spark, sf)
+    early, late = txn.agg(F.min(S.CREATED), F.max(S.CREATED)).first()
+    width = max(1, int((late - early).total_seconds()) // (LIVE_FILES - 1) + 1)
+    own = F.floor((F.unix_seconds(S.CREATED) - F.unix_seconds(F.lit(early))) / width)
+    file = F.least(own + (F.col(S.SEQ) % 5 == 0).cast("int"), F.lit(LIVE_FILES - 1))
+    for k in range(LIVE_FILES):  # one after the other: a file's age is its place
+        txn.where(file == k).coalesce(1).write.parquet(f"{root}/in/{k}")
+    stream = L.transfers_stream(spark, f"{root}/in", txn.schema)
+    dropped = L.run_to_sink(L.live_state_stream(stream, f"{2 * width} seconds"), f"{root}/out", f"{root}/ckpt")
+    if dropped:
+        raise ValueError(f"{dropped} rows came behind the watermark")
+    return spark.read.schema(L.LIVE_SCHEMA).parquet(f"{root}/out")
+
+
+def q_live_stream(spark, sf):
+    return _live_replay(spark, sf).select(
+        S.SEQ, "live_txn_count_10min", "live_txn_count_1hour", r6("live_time_since_last"), "session_count",
+        r6("session_month_spending"),
     )
 
 
+def q_live_decisions(spark, sf):
+    """Live rows decided with the profile and the stored month of the table's first half."""
+    from acctsentry.streaming import live as L
+
+    stored = _events(spark, sf).where(F.col(S.SEQ) % 2 == 0)
+    out = L.live_decisions(_live_replay(spark, sf), PR.account_profile(stored), PR.month_totals(stored))
+    return out.select(
+        S.SEQ, "is_fraud", F.size("reasons").cast("long").alias("n_reasons"), r6("threshold"), r6("current_month_spending"))
+
+
 def q_decision_log(spark, sf):
     """The decision log written (append, by date) and read back."""
     from acctsentry.session import scratch_path
@@ -376,4 +475,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ae_scores": q_ae_scores,
     "ae_threshold_report": q_ae_threshold_report,
     "hybrid_decisions": q_hybrid_decisions,
+    "model_checks": q_model_checks,
+    "missing_features": q_missing_features,
+    "live_decisions": q_live_decisions,
 }
