@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from acctsentry.llm.common import materialized
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """``node``, ``root`` (least node reachable) for each node of ``edges`` (a, b).
+    """``node``, ``root`` (least node reachable) for each node of ``edges`` (a, b),
+    which are read once in each direction.
 
     Each round sends every larger neighbour of a node to the least one, then
     every smaller neighbour: a star of any size takes one round, a path a
@@ -17,22 +18,27 @@ def connected_components(edges: DataFrame) -> DataFrame:
     partial sums or the many side of a join; rounds are written to the shared
     folder.
     """
-    e = materialized(
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    before = None
+    e, before = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), None
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
-        e = materialized(
-            small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(small.select("u", F.col("m").alias("v"))).distinct())
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        # An edge (u, v) gives (v, m) and (u, m); the latter is the same for all edges of u.
+        pairs = small.select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("p"))
+        e, now = _written(pairs.select(F.col("p.v").alias("u"), F.col("p.m").alias("v")).where("u <> v").distinct())
         if now == before:
             break
         before = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def _written(e: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, materialised, with their number and a sum of their hashes."""
+    seen = Observation()
+    e = materialized(e.observe(
+        seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")))
+    got = seen.get
+    return e, (got["n"], got["h"])

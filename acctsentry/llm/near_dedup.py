@@ -179,10 +179,8 @@ def full_sets(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, n: int) ->
     return materialized(sets.dropDuplicates(["node"]))
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, share: float) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, share: float) -> DataFrame:
     """Pairs (a, b) whose full shingle sets are that similar."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = full_sets(wanted, nodes, texts, n)
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b"))
 
@@ -199,14 +197,14 @@ def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, n: int, share
     return both.select("a", "b", "sa", "sb").mapInArrow(check, pairs.select("a", "b").schema)
 
 
-def dealt_out(members: DataFrame, carried: list[str]) -> DataFrame:
+def dealt_out(members: DataFrame) -> DataFrame:
     """Rows of groups in which members of different components must be compared.
 
-    ``members``: group, node, comp and the carried columns. The members of a
-    group's largest component need not be compared with one another, so only
-    the others ("strays") are, with all. Both sides are dealt in blocks of
-    ``BLOCK`` by a hash; a task gets one block of members and one of strays
-    (columns m and s), whatever the group's size.
+    ``members``: group, node, comp. The members of a group's largest component
+    need not be compared with one another, so only the others ("strays") are,
+    with all. Both sides are dealt in blocks of ``BLOCK`` by a hash; a task
+    gets one block of members and one of strays (columns m and s), whatever
+    the group's size.
     """
     sizes = members.groupBy("group", "comp").agg(F.count(F.lit(1)).alias("c"))
     groups = sizes.groupBy("group").agg(
@@ -215,19 +213,23 @@ def dealt_out(members: DataFrame, carried: list[str]) -> DataFrame:
     joined = members.join(groups.select(
         "group", "major", F.ceil(F.col("members") / BLOCK).cast("int").alias("mb"),
         F.ceil((F.col("members") - F.col("most")) / BLOCK).cast("int").alias("sb")), "group")
-    own = lambda k: F.pmod(F.xxhash64("node"), k)
-    upto = lambda k: F.sequence(F.lit(0), F.col(k) - 1)
-    fields = ["group", "node", "comp", *carried]
-    as_member = joined.select(*fields, F.lit(False).alias("stray"), own(F.col("mb")).alias("m"), F.explode(upto("sb")).alias("s"))
-    as_stray = joined.where("comp <> major").select(
-        *fields, F.lit(True).alias("stray"), F.explode(upto("mb")).alias("m"), own(F.col("sb")).alias("s"))
-    return as_member.union(as_stray)
 
+    def places(k: str, stray: bool, at) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.col(k) - 1), lambda i: F.struct(F.lit(stray).alias("stray"), *at(i)))
 
-def links_inside(members: DataFrame, share: float) -> DataFrame:
+    own = lambda k: F.pmod(F.xxhash64("node"), k).cast("int")
+    as_member = places("sb", False, lambda i: (own("mb").alias("m"), i.alias("s")))
+    as_stray = places("mb", True, lambda i: (i.alias("m"), own("sb").alias("s")))
+    return joined.select(
+        "group", "node", "comp",
+        F.explode(F.when(F.col("comp") == F.col("major"), as_member).otherwise(F.concat(as_member, as_stray))).alias("at"),
+    ).select("group", "node", "comp", "at.*")
+
+
+def links_inside(members: DataFrame, sets: DataFrame, share: float) -> DataFrame:
     """Linked pairs across the components of a group, from full sets.
 
-    ``members``: group, node, comp, set. A task counts common shingles of its
+    ``members``: group, node, comp; ``sets``: node, set. A task counts common shingles of its
     strays with all its members through an index of the members' shingles.
     """
     node, least = dict(members.dtypes)["node"], round(share * 100)
@@ -252,12 +254,12 @@ def links_inside(members: DataFrame, share: float) -> DataFrame:
                     out.append(pd.DataFrame({"a": np.maximum(ids[j], ids[i]), "b": np.minimum(ids[j], ids[i])}))
         return pd.concat(out)
 
-    return dealt_out(members, ["set"]).groupBy("group", "m", "s").applyInPandas(compare, f"a {node}, b {node}").distinct()
+    return dealt_out(members).join(sets, "node").groupBy("group", "m", "s").applyInPandas(compare, f"a {node}, b {node}").distinct()
 
 
-def cross_pairs(members: DataFrame, share: float) -> DataFrame:
+def cross_pairs(members: DataFrame, sketches: DataFrame, share: float) -> DataFrame:
     """Likely pairs across the components of a group: ``members`` has group,
-    node, comp, n, regs. Pairs form inside a task as arrays and leave it only
+    node, comp, ``sketches`` node, n, regs. Pairs form inside a task as arrays and leave it only
     if the sketches allow the similarity."""
     node = dict(members.dtypes)["node"]
 
@@ -275,7 +277,23 @@ def cross_pairs(members: DataFrame, share: float) -> DataFrame:
                 out.append(pd.DataFrame({"a": np.maximum(ids[j], ids[i]), "b": np.minimum(ids[j], ids[i])}))
         return pd.concat(out)
 
-    return dealt_out(members, ["n", "regs"]).groupBy("group", "m", "s").applyInPandas(compare, f"a {node}, b {node}").distinct()
+    return dealt_out(members).join(sketches, "node").groupBy("group", "m", "s").applyInPandas(compare, f"a {node}, b {node}").distinct()
+
+
+def near_labels(edges: DataFrame) -> DataFrame:
+    """(node, label): the least neighbour's least neighbour, two steps on.
+
+    Nodes of one label are connected; connected nodes mostly, but not always,
+    have one label, and where labels differ pairs are compared once more. A
+    few joins do, where true components take many rounds.
+    """
+    both = edges.select(F.explode(F.array(
+        F.struct(F.col("a").alias("node"), F.col("b").alias("other")), F.struct(F.col("b").alias("node"), F.col("a").alias("other")))).alias("e"))
+    label = both.select("e.*").groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("label"))
+    for _ in range(2):
+        on = label.select(F.col("node").alias("label"), F.col("label").alias("next"))
+        label = label.join(on, "label").select("node", F.col("next").alias("label"))
+    return label
 
 
 def near_duplicates(
@@ -322,27 +340,21 @@ def near_duplicates(
     lean = nodes.select("node", "n", "regs")
     stars = in_bucket.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
     tested = materialized(likely_pairs(stars, lean, share))
-    links = materialized(verified(tested, nodes, texts, shingle, share))
-    roots = connected_components(links)
-
-    # What stars leave apart. First inside the groups that likely pairs connect: each
-    # node is in one such group, so its full set is there to decide. (A group of
-    # two is the pair that has just been verified.)
-    groups = materialized(connected_components(tested))
-    several = groups.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where("size > 2").select("root")
-    apart = materialized(
-        groups.join(several, "root").withColumnRenamed("root", "group").join(roots, "node", "left")
-        .select("group", "node", F.coalesce("root", "node").alias("comp")))
-    open_groups = apart.groupBy("group").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("group")
-    apart = materialized(apart.join(open_groups, "group"))
-    sets = full_sets(apart.select("node"), nodes, texts, shingle)
-    inside = links_inside(apart.join(sets, "node"), share)
-    # Then between such groups, where a bucket holds members of several.
+    groups = materialized(near_labels(tested))
+    # What stars leave apart: pairs of a bucket that lie in different groups of likely
+    # pairs. (A bucket of two holds no other pair than the one that is tested.)
     left = (in_bucket.where("size > 2 and node <> rep").select(F.col("bucket").alias("group"), "node").join(groups, "node", "left")
-            .select("group", "node", F.coalesce("root", "node").alias("comp")))
-    between = cross_pairs(left.join(lean, "node"), share).join(tested, ["a", "b"], "left_anti")
-    between = verified(materialized(between), nodes, texts, shingle, share)
-    roots = connected_components(materialized(links.union(inside).union(between)))
+            .select("group", "node", F.coalesce("label", "node").alias("comp")))
+    between = cross_pairs(left, lean, share).join(tested, ["a", "b"], "left_anti")
+    pairs = materialized(tested.union(between))
+    sets = full_sets(
+        pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), nodes, texts, shingle)
+    links = materialized(verified(pairs, sets, share))
+    # And pairs inside such a group: each node is in one, so its full set is there to decide.
+    apart = groups.join(near_labels(links).withColumnRenamed("label", "own"), "node", "left").select(
+        F.col("label").alias("group"), "node", F.coalesce("own", "node").alias("comp"))
+    inside = links_inside(apart, sets, share)
+    roots = connected_components(materialized(links.union(inside)))
 
     labels = nodes.join(roots, "node", "left").select(
         F.col("s1").alias("l1"), F.col("s2").alias("l2"), F.coalesce("root", "node").alias("root"))
