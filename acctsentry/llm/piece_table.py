@@ -12,7 +12,6 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
-import sentencepiece
 
 from acctsentry.llm import arrays as A
 
@@ -24,6 +23,8 @@ NEVER = np.iinfo(np.int64).max
 
 class Pieces:
     def __init__(self, path: str):
+        import sentencepiece  # only tasks need it
+
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = len(model)
         self.path, self.n_pieces = path, n

@@ -13,7 +13,8 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow.compute as pc
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -255,17 +256,27 @@ def train(
 ) -> Model:
     """Fit on a bounded sample of labelled documents (see ``labelled_sample``).
 
-    Without labels of both classes the model gives each text the same score.
+    One task fits, on twice ``SAMPLE`` texts in expectation; the driver gets
+    the weights. Without labels of both classes the model gives each text the
+    same score.
     """
-    rows = labelled_sample(docs, labels, id_col, text_col, label_col).toArrow()
-    order = pc.sort_indices(rows, [("id", "ascending")])
 
-    def blocks() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        for i in range(0, len(order), BLOCK):
-            part = rows.take(order[i : i + BLOCK])
-            yield *A.utf8(part.column("text").combine_chunks()), part.column("y").to_numpy().astype(np.int64)
+    def fit_sample(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("id")
 
-    return fit(blocks())
+        def blocks() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            for i in range(0, len(rows), BLOCK):
+                part = rows.iloc[i : i + BLOCK]
+                yield *A.utf8(pa.array(part["text"], pa.string())), part["y"].to_numpy().astype(np.int64)
+
+        model = fit(blocks())
+        return pd.DataFrame({"weight": [model.weight.tobytes()], "bias": [model.bias]})
+
+    sample = labelled_sample(docs, labels, id_col, text_col, label_col)
+    row = sample.groupBy().applyInPandas(fit_sample, "weight binary, bias double").first()
+    if row is None:  # no labelled text at all
+        return fit(iter(()))
+    return Model(np.frombuffer(row["weight"], np.float32), row["bias"])
 
 
 def score_texts(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
