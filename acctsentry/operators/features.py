@@ -424,8 +424,12 @@ def feature_table(raw: DataFrame) -> DataFrame:
     b = beneficiary_pass(p)
     v = velocity_pass(b, group_table(p))
     out = _finish(v, out_cols)
-    if S.CREATED not in present:
-        out = _dateless_overrides(out)
+    # A date column without one usable date counts as none; a usable one ends the look at once.
+    if S.CREATED not in present or p.where(F.col(S.CREATED).isNotNull()).isEmpty():
+        out = _dateless_overrides(out).withColumns({
+            "time_since_last": F.lit(S.DEFAULT_GAP_SECONDS), "recent_burst": F.lit(0), "last_txn_time": F.lit(None).cast("timestamp"),
+            **{c: F.lit(1).cast("long") for c in ("txn_count_30s", "txn_count_10min", "txn_count_1hour")},
+        })
     if S.BENEFICIARY not in present or S.CREATED not in present:
         out = out.withColumn("is_new_beneficiary", F.lit(0)).withColumn(
             "beneficiary_txn_count_30d", F.lit(1).cast("long")
@@ -434,7 +438,7 @@ def feature_table(raw: DataFrame) -> DataFrame:
 
 
 def _dateless_overrides(df: DataFrame) -> DataFrame:
-    """Without a date column, buckets are the row itself."""
+    """Without dates, buckets are the row itself."""
     amt = F.col("transaction_amount")
     one = F.lit(1).cast("long")
     return df.withColumns(

@@ -44,7 +44,7 @@ def account_profile(txn: DataFrame) -> DataFrame:
             F.stddev_samp(amt).alias("_std"),
             F.max(amt).alias("user_max_amount"),
             F.count(F.lit(1)).alias("user_txn_frequency"),
-            F.avg((F.col(S.TRANSFER_TYPE) == "S").cast("double")).alias("user_international_ratio"),
+            F.avg(F.coalesce(F.col(S.TRANSFER_TYPE) == "S", F.lit(False)).cast("double")).alias("user_international_ratio"),
         )
     )
     many = F.col("user_txn_frequency") > 1
@@ -163,7 +163,8 @@ def rule_decisions(features: DataFrame) -> DataFrame:
     chk = R.rule_check(
         F.col("transaction_amount"),
         F.col("user_avg_amount"),
-        F.col("user_std_amount"),
+        # one row has no deviation: the decision then takes a fixed one
+        F.when(F.col("user_txn_frequency") > 1, F.col("user_std_amount")).otherwise(F.lit(S.ONE_ROW_DECISION_STD)),
         F.col(S.TRANSFER_TYPE),
         F.col("txn_count_10min"),
         F.col("txn_count_1hour"),

@@ -49,6 +49,21 @@ LEFT JOIN nation ON s_nationkey = n_nationkey
 """
 
 
+TXN_DIRTY = """
+SELECT seq,
+  CASE WHEN seq % 61 = 0 THEN seq + 1000000 WHEN seq % 17 = 0 THEN NULL ELSE CustomerId END AS CustomerId,
+  CASE WHEN seq % 61 = 0 THEN seq + 10000000 WHEN seq % 19 = 0 THEN NULL ELSE FromAccountNo END AS FromAccountNo,
+  CASE WHEN seq % 23 = 0 THEN NULL ELSE ReceipentAccount END AS ReceipentAccount,
+  CASE WHEN seq % 29 = 0 OR seq % 31 = 0 OR seq % 37 = 0 THEN NULL ELSE AmountInAed END AS AmountInAed,
+  CASE WHEN seq % 41 = 0 THEN 'x' WHEN seq % 43 = 0 THEN 's' WHEN seq % 47 = 0 THEN NULL ELSE TransferType END AS TransferType,
+  CASE WHEN seq % 13 = 0 THEN NULL ELSE ChannelId END AS ChannelId,
+  CASE WHEN seq % 7 = 0 THEN NULL ELSE BankCountry END AS BankCountry,
+  CASE WHEN seq % 11 = 0 OR seq % 53 = 0 THEN NULL ELSE CreateDate END AS CreateDate,
+  CASE WHEN seq % 5 = 1 THEN 'Force Approved' ELSE Status END AS Status
+FROM (""" + TXN_EVENTS + """)
+"""
+
+
 def _features_ctes(src: str) -> str:
     """CTEs ``src`` -> ``base`` -> ``feat`` computing every feature column."""
     return f"""
@@ -218,12 +233,40 @@ def _col(c: str) -> str:
     return f"round(CAST({c} AS DOUBLE), 6) AS {c}"
 
 
-def feature_select(view: str, cols: list[str]) -> str:
-    src = TXN_EVENTS if view == "events" else TXN_LINEITEM
-    return "WITH " + _features_ctes(src) + " SELECT " + ", ".join(_col(c) for c in cols) + " FROM feat2"
+VIEW_SQL = {"events": TXN_EVENTS, "lineitem": TXN_LINEITEM, "dirty": TXN_DIRTY}
+NO_DATE = "CAST(NULL AS TIMESTAMP)"
+#: What the features are that depend on dates, where a table has none.
+DATELESS = {
+    "hour": "12", "day_of_week": "0", "is_weekend": "0", "is_night": "0",
+    "time_since_last": "3600.0", "recent_burst": "0", "last_txn_time": NO_DATE,
+    "txn_count_30s": "1", "txn_count_10min": "1", "txn_count_1hour": "1",
+    **{c: "transaction_amount" for c in ("hourly_total", "daily_total", "weekly_total", "weekly_avg_amount",
+                                         "current_month_spending", "monthly_avg_amount")},
+    **{c: "1" for c in ("hourly_count", "daily_count", "weekly_txn_count", "monthly_txn_count")},
+    "weekly_deviation": "0.0", "amount_vs_weekly_avg": "1.0", "monthly_deviation": "0.0", "amount_vs_monthly_avg": "1.0",
+    "month_spending_before": "CAST(NULL AS DOUBLE)",
+}
+#: And where it has no account key: statistics of the whole table, else constants.
+KEYLESS = {
+    **{k: v for k, v in DATELESS.items() if k not in ("hour", "day_of_week", "is_weekend", "is_night")},
+    "user_avg_amount": "avg(transaction_amount) OVER ()", "user_std_amount": "stddev_samp(transaction_amount) OVER ()",
+    "user_max_amount": "max(transaction_amount) OVER ()", "user_txn_frequency": "count(*) OVER ()",
+    **{c: "0" for c in ("deviation_from_avg", "amount_to_max_ratio", "intl_ratio", "user_high_risk_txn_ratio",
+                        "user_multiple_accounts_flag", "cross_account_transfer_ratio", "geo_anomaly_flag",
+                        "is_new_beneficiary", "rolling_std", "transaction_velocity")},
+    "beneficiary_txn_count_30d": "1", "num_accounts": "CAST(NULL AS BIGINT)",
+}
 
 
-MODEL_FEATURES_SQL = None  # filled lazily from the schema module
+def feature_select(view: str, cols: list[str]) -> str:
+    if view in VIEW_SQL:
+        return "WITH " + _features_ctes(VIEW_SQL[view]) + " SELECT " + ", ".join(_col(c) for c in cols) + " FROM feat2"
+    fixed = DATELESS if view == "dateless" else KEYLESS
+    src = TXN_DIRTY
+    if view == "dateless":
+        src = "SELECT * REPLACE (CAST(NULL AS TIMESTAMP) AS CreateDate) FROM (" + TXN_DIRTY + ")"
+    inner = ", ".join(f"{fixed[c]} AS {c}" if c in fixed else c for c in cols)
+    return "WITH " + _features_ctes(src) + f", fixed AS (SELECT {inner} FROM feat2) SELECT " + ", ".join(_col(c) for c in cols) + " FROM fixed"
 
 
 def _model_features() -> list[str]:
@@ -265,7 +308,8 @@ def scaled_features_sql() -> str:
 RULES_CTE = """, rules AS (
   SELECT f.*,
     greatest(user_avg_amount + COALESCE(CASE TransferType WHEN 'S' THEN 2.0 WHEN 'Q' THEN 2.5 WHEN 'L' THEN 3.0
-                                          WHEN 'I' THEN 3.5 WHEN 'O' THEN 4.0 END, 3.0) * user_std_amount,
+                                          WHEN 'I' THEN 3.5 WHEN 'O' THEN 4.0 END, 3.0)
+             * CASE WHEN user_txn_frequency > 1 THEN user_std_amount ELSE 2000.0 END,
              COALESCE(CASE TransferType WHEN 'S' THEN 5000.0 WHEN 'Q' THEN 3000.0 WHEN 'L' THEN 2000.0
                                         WHEN 'I' THEN 1500.0 WHEN 'O' THEN 1000.0 END, 2000.0)) AS threshold,
     COALESCE(month_spending_before, 0.0) + transaction_amount AS projected
@@ -284,9 +328,9 @@ RULES_CTE = """, rules AS (
 )"""
 
 
-def rule_decisions_sql() -> str:
+def rule_decisions_sql(src: str = TXN_EVENTS) -> str:
     return (
-        "WITH " + _features_ctes(TXN_EVENTS) + RULES_CTE
+        "WITH " + _features_ctes(src) + RULES_CTE
         + " SELECT seq, CAST(len(reasons) > 0 AS INTEGER) AS violated, round(threshold, 6) AS threshold,"
         + " CAST(len(reasons) AS BIGINT) AS n_reasons, array_to_string(reasons, ' | ') AS reasons FROM rules2"
     )
@@ -395,6 +439,16 @@ FROM p CROSS JOIN t"""
         " FROM src WHERE CustomerId IS NOT NULL AND FromAccountNo IS NOT NULL GROUP BY CustomerId, FromAccountNo"
     )
     q["rule_decisions"] = rule_decisions_sql()
+    q["rule_decisions_dirty"] = rule_decisions_sql(TXN_DIRTY)
+    for view in ("dirty", "keyless", "dateless"):
+        q[f"feature_table_{view}"] = feature_select(view, FEATURE_TABLE_COLS)
+    q["profile_dirty"] = ACCOUNT_PROFILE.replace(TXN_EVENTS, TXN_DIRTY) + """
+SELECT src.seq, round(COALESCE(user_avg_amount, 5000.0), 6) AS user_avg_amount,
+  round(CASE WHEN user_txn_frequency > 1 THEN sd ELSE 2000.0 END, 6) AS user_std_amount,
+  round(COALESCE(user_max_amount, 15000.0), 6) AS user_max_amount,
+  CAST(COALESCE(user_txn_frequency, 0) AS BIGINT) AS user_txn_frequency,
+  round(COALESCE(user_international_ratio, 0.0), 6) AS user_international_ratio
+FROM src LEFT JOIN p USING (CustomerId, FromAccountNo)"""
     q["decision_log"] = decision_log_cte() + (
         " SELECT CustomerID, FromAccountNo, round(Amount, 6) AS Amount, Type, Status, Timestamp FROM dlog"
     )
@@ -404,12 +458,14 @@ FROM p CROSS JOIN t"""
     )
     q["history_totals"] = decision_log_cte() + """,
 as_of_t AS (SELECT max(CreateDate) AS a FROM src),
+cut_t AS (SELECT (min(epoch_us(CreateDate)) + max(epoch_us(CreateDate))) // 2 AS cut FROM src),
 both_rows AS (
   SELECT CAST(CustomerId AS BIGINT) AS CustomerID, CAST(FromAccountNo AS VARCHAR) AS FromAccountNo,
          COALESCE(AmountInAed, 0.0) AS Amount, CreateDate AS Timestamp, 1 AS stored FROM src
+  WHERE epoch_us(CreateDate) < (SELECT cut FROM cut_t)
   UNION ALL
   SELECT CustomerID, FromAccountNo, Amount, Timestamp, 0 AS stored FROM dlog
-  WHERE Status IN ('Approved', 'Force Approved')
+  WHERE Status IN ('Approved', 'Force Approved') AND epoch_us(Timestamp) >= (SELECT cut FROM cut_t)
 )
 SELECT CustomerID, FromAccountNo,
   CAST(sum(stored) AS BIGINT) AS stored_count, CAST(sum(1 - stored) AS BIGINT) AS session_count,
@@ -467,6 +523,7 @@ FROM v"""
         " CreateDate FROM src"
     )
     q["approved_velocity"] = approved
+    q["approved_velocity_dirty"] = approved.replace(TXN_EVENTS, TXN_DIRTY)
     live = live_cte()
     q["live_stream"] = live + """
 SELECT seq, CAST(c10 AS BIGINT) AS live_txn_count_10min, CAST(c1h AS BIGINT) AS live_txn_count_1hour,

@@ -42,9 +42,17 @@ def _lineitem(spark, sf) -> DataFrame:
     return V.txn_lineitem(spark, sf).checkpoint(eager=True)
 
 
+VIEWS = {
+    "events": _events,
+    "lineitem": _lineitem,
+    "dirty": lambda spark, sf: V.txn_dirty(spark, sf),
+    "keyless": lambda spark, sf: V.txn_dirty(spark, sf).drop(S.CUSTOMER, S.ACCOUNT),
+    "dateless": lambda spark, sf: V.txn_dirty(spark, sf).withColumn(S.CREATED, F.concat(F.lit("no date "), S.SEQ)),
+}
+
+
 def _features(spark, sf, view="events") -> DataFrame:
-    txn = _events(spark, sf) if view == "events" else _lineitem(spark, sf)
-    return FE.feature_table(txn)
+    return FE.feature_table(VIEWS[view](spark, sf))
 
 
 # ---------------------------------------------------------------------------
@@ -127,6 +135,24 @@ def q_account_profile(spark, sf):
     )
 
 
+def q_profile_dirty(spark, sf):
+    """A12, F1/F2 keys and J10 on NULL keys, bad amounts and one-row accounts."""
+    txn = V.txn_dirty(spark, sf)
+    pr = PR.with_profile(txn.select(S.SEQ, *K), PR.account_profile(txn))
+    return pr.select(S.SEQ, r6("user_avg_amount"), r6("user_std_amount"), r6("user_max_amount"), "user_txn_frequency",
+                     r6("user_international_ratio"))
+
+
+def q_approved_velocity_dirty(spark, sf):
+    """T1-T5 with Force Approved rows, NULL keys and dates."""
+    from acctsentry.streaming.live import approved_velocity
+
+    txn = V.txn_dirty(spark, sf)
+    return approved_velocity(txn.withColumn(S.CREATED, F.try_to_timestamp(S.CREATED))).select(
+        S.SEQ, "live_txn_count_10min", "live_txn_count_1hour", r6("live_time_since_last"), "session_count",
+        r6("session_month_spending"))
+
+
 def _as_of(txn: DataFrame) -> Column:
     """The latest transfer time of the table, as a scalar subquery."""
     return txn.select(F.max(S.CREATED)).scalar()
@@ -138,12 +164,16 @@ def q_month_to_date(spark, sf):
     return mtd.select(*K, r6("month_to_date"))
 
 
-def _rule_rows(spark, sf) -> DataFrame:
-    return PR.rule_decisions(_features(spark, sf, "events"))
+def _rule_rows(spark, sf, view="events") -> DataFrame:
+    return PR.rule_decisions(_features(spark, sf, view))
+
+
+def q_rule_decisions_dirty(spark, sf):
+    return q_rule_decisions(spark, sf, "dirty")
 
 
-def q_rule_decisions(spark, sf):
-    rd = _rule_rows(spark, sf)
+def q_rule_decisions(spark, sf, view="events"):
+    rd = _rule_rows(spark, sf, view)
     return rd.select(
         S.SEQ, F.col("violated").cast("int").alias("violated"), r6("threshold"),
         F.size("reasons").cast("long").alias("n_reasons"),
@@ -155,7 +185,10 @@ def q_history_totals(spark, sf):
     txn = _events(spark, sf)
     decided = _rule_rows(spark, sf).withColumn("is_fraud", F.col("violated"))
     log = PR.decision_log_from(decided)
-    ht = PR.history_totals(txn, log, _as_of(txn))
+    # The file holds the transfers of the first half of the time, the session those of the second.
+    us = F.unix_micros(S.CREATED)
+    cut = txn.select(((F.min(us) + F.max(us)) / 2).cast("long")).scalar()
+    ht = PR.history_totals(txn.where(us < cut), log.where(F.unix_micros("Timestamp") >= cut), _as_of(txn))
     return ht.select(
         "CustomerID", "FromAccountNo", "stored_count", "session_count", "total_txns",
         r6("stored_month"), r6("session_month"), r6("total_month"),
@@ -298,7 +331,7 @@ def q_model_checks(spark, sf):
         scored.select(S.SEQ, *S.MODEL_FEATURES), load_scaler(spark, f"{path}/scaler"), IF.load_forest(spark, f"{path}/forest"),
         AE.load_autoencoder(spark, f"{path}/ae")).select(
         S.SEQ, F.col("anomaly_score").alias("a2"), F.col("reconstruction_error").alias("e2"))
-    rows = decided.join(scored.select(
+    rows = decided.select(S.SEQ, "is_fraud", "reasons", "risk_score", "ml_flag", "ae_flag").join(scored.select(
         S.SEQ, "anomaly_score", "prediction", "violated", "reconstruction_error", F.col("reasons").alias("rule_reasons"),
         "ae_is_anomaly", "ae_reason"), S.SEQ).join(again, S.SEQ)
     errors = scored.agg(F.avg("reconstruction_error"), F.stddev_pop("reconstruction_error")).first()
@@ -458,6 +491,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decision_log_csv": q_decision_log_csv,
     "feature_table": q_feature_table,
     "feature_table_lineitem": q_feature_table_lineitem,
+    **{f"feature_table_{view}": _make_feature_query(view, FEATURE_TABLE_COLS[1:]) for view in ("dirty", "keyless", "dateless")},
+    "rule_decisions_dirty": q_rule_decisions_dirty,
+    "profile_dirty": q_profile_dirty,
+    "approved_velocity_dirty": q_approved_velocity_dirty,
     "account_profile": q_account_profile,
     "month_to_date": q_month_to_date,
     "history_totals": q_history_totals,

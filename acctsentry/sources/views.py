@@ -61,6 +61,33 @@ def txn_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_to_transfers(read_table(spark, sf_dir, "events"))
 
 
+def txn_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events view as a raw file may hold it: amounts and dates as text,
+    some of them bad; NULL keys, beneficiaries, types and channels; unknown and
+    lower-case types; accounts with one row; forced approvals."""
+    seq = F.col(S.SEQ)
+
+    def every(n: int) -> Column:
+        return seq % n == 0
+
+    df = txn_events(spark, sf_dir)
+    alone = every(61)
+    return df.select(
+        S.SEQ,
+        F.when(alone, seq + 1_000_000).when(every(17), None).otherwise(F.col(S.CUSTOMER)).alias(S.CUSTOMER),
+        F.when(alone, seq + 10_000_000).when(every(19), None).otherwise(F.col(S.ACCOUNT)).alias(S.ACCOUNT),
+        F.when(every(23), None).otherwise(F.col(S.BENEFICIARY)).alias(S.BENEFICIARY),
+        F.when(every(29), "abc").when(every(31), "NaN").when(every(37), None).otherwise(F.col(S.AMOUNT).cast("string"))
+        .alias(S.AMOUNT),
+        F.when(every(41), "x").when(every(43), "s").when(every(47), None).otherwise(F.col(S.TRANSFER_TYPE)).alias(S.TRANSFER_TYPE),
+        F.when(every(13), None).otherwise(F.col(S.CHANNEL)).alias(S.CHANNEL),
+        F.when(every(7), None).otherwise(F.col(S.COUNTRY)).alias(S.COUNTRY),
+        F.when(every(11), "not a date").when(every(53), None)
+        .otherwise(F.date_format(S.CREATED, "yyyy-MM-dd HH:mm:ss")).alias(S.CREATED),
+        F.when(seq % 5 == 1, S.STATUS_FORCE_APPROVED).otherwise(F.col("Status")).alias("Status"),
+    )
+
+
 def txn_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as transfers; ``seq`` is the rank in a total order of the six
     columns that make a line item unique (computed distributed, see
