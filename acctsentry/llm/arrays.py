@@ -3,6 +3,7 @@ shingle hashes. Spark deals the rows; a task holds one slice of a batch."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -47,6 +48,15 @@ def slices(batch: pa.RecordBatch, text_col: str, limit: int = SLICE_BYTES) -> It
         i = j
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on after a task,
+    and what they keep is missing to the executor's other tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def per_text(
     docs: DataFrame, keep: list[str], text_col: str, fn: Callable[[np.ndarray, np.ndarray], dict], result: T.StructType,
 ) -> DataFrame:
@@ -70,6 +80,7 @@ def per_text(
                        for f in result.fields],
                     schema=arrow,
                 )
+        give_back()
 
     return src.mapInArrow(run, schema)
 

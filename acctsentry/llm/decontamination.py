@@ -106,6 +106,7 @@ def shingle_counts(docs: DataFrame, text_col: str, bits: np.ndarray, sizes: list
                 found = [x[may_have(bits, x)] for k in sizes if len(x := A.window_hashes(h, A.window_starts(doc, k), k))]
                 value, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n, pa.int64())], ["h", "n"])
+        A.give_back()
 
     return docs.select(col(text_col).alias("t")).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 

@@ -102,6 +102,7 @@ def in_bands(nodes: DataFrame) -> DataFrame:
                 key = A.mix(key * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, j])
             node = batch.column("node").take(pa.array(np.repeat(np.arange(len(batch)), BANDS)))
             yield pa.RecordBatch.from_arrays([node, pa.array(key.reshape(-1).view(np.int64))], names=["node", "bucket"])
+        A.give_back()
 
     return nodes.select("node", "regs").mapInArrow(run, T.StructType([nodes.schema["node"], T.StructField("bucket", T.LongType())]))
 
@@ -152,6 +153,7 @@ def likely_pairs(pairs: DataFrame, nodes: DataFrame, share: float) -> DataFrame:
                 ra, rb = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint16).reshape(len(part), -1) for c in ("ra", "rb"))
                 na, nb = (part.column(c).to_numpy().astype(float) for c in ("na", "nb"))
                 yield part.select(["a", "b"]).filter(pa.array(likely(ra, rb, na, nb, share)))
+        A.give_back()
 
     return both.select("a", "b", "na", "ra", "nb", "rb").mapInArrow(run, pairs.select("a", "b").schema)
 
@@ -193,6 +195,7 @@ def verified(pairs: DataFrame, sets: DataFrame, share: float) -> DataFrame:
                 both_have = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both_have >= least * (len(x) + len(y) - both_have))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        A.give_back()
 
     return both.select("a", "b", "sa", "sb").mapInArrow(check, pairs.select("a", "b").schema)
 

@@ -20,7 +20,7 @@ from acctsentry.llm.piece_table import SPACE, UNKNOWN, Pieces
 #: Characters of the longest segment that goes through the array scan; longer ones are scanned one by one.
 LANE = 48
 #: Segments whose pieces a worker remembers before it starts anew.
-MEMORY = 600_000
+MEMORY = 300_000
 
 MARK = chr(SPACE)
 CUT_BEFORE = re.compile(f"[^{MARK}]{MARK}")

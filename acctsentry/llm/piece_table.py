@@ -136,7 +136,7 @@ class Pieces:
             return True
         found = self._fast.get((a, b))
         if found is None:
-            if len(self._fast) > 500_000:
+            if len(self._fast) > 100_000:
                 self._fast.clear()
             rank, formed, left, right = self._lists
             x, y, due, found = a, b, NEVER, True

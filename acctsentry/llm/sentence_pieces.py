@@ -112,6 +112,7 @@ def encode_giants(texts: DataFrame, model: str, size: int) -> DataFrame:
                 got = [c.trace(tuple(a), tuple(b), x) for c, (a, b), x in zip(some, ends, inner, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(f.name).cast(arrow.field(f.name).type) for f in key), pa.array(got, pa.list_(pa.int32()))], schema=arrow)
+        A.give_back()
 
     states = chunks.mapInArrow(matrices, m_schema).groupBy("id", "th").applyInPandas(combine, x_schema)
     states = states.select(*[F.col(c).alias(f"x_{c}") for c in ("id", "th", "chunk")], "enter", "leave")
@@ -200,5 +201,6 @@ def decode(encoded: DataFrame, model: str, pieces_col: str = "pieces", to: str =
                 yield pa.RecordBatch.from_arrays(
                     [part.column(k).cast(arrow.field(k).type) for k in range(len(kept))] + [texts], schema=arrow)
                 i = j
+        A.give_back()
 
     return src.mapInArrow(run, schema)

@@ -270,6 +270,7 @@ def train(
                 yield *A.utf8(pa.array(part["text"], pa.string())), part["y"].to_numpy().astype(np.int64)
 
         model = fit(blocks())
+        A.give_back()
         return pd.DataFrame({"weight": [model.weight.tobytes()], "bias": [model.bias]})
 
     sample = labelled_sample(docs, labels, id_col, text_col, label_col)
