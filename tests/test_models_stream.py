@@ -84,12 +84,56 @@ def test_autoencoder_gradients_match_finite_differences():
         assert num == pytest.approx(grads[k][idx], rel=1e-4, abs=1e-8), k
 
 
-def test_stream_equals_batch_and_restarts(spark):
+LIVE_INPUT = ("seq long, CustomerId long, FromAccountNo long, CreateDate timestamp, AmountInAed double, "
+              "TransferType string, Status string")
+
+
+def _files(spark, path, *batches):
+    """One file per batch, the later the younger."""
+    for i, rows in enumerate(batches):
+        df = spark.createDataFrame([(s, 1, 10, t, 100.0, "O", st) for s, t, st in rows],
+                                   LIVE_INPUT.replace("CreateDate timestamp", "CreateDate string"))
+        df.withColumn("CreateDate", F.to_timestamp("CreateDate")).coalesce(1).write.parquet(f"{path}/{spark.range(1).count()}-{i}-{rows[0][0]}")
+
+
+def _replay(spark, root, watermark="2 hours"):
+    from pyspark.sql.types import _parse_datatype_string
+
+    from acctsentry.streaming import live as L
+
+    stream = L.transfers_stream(spark, f"{root}/in", _parse_datatype_string(LIVE_INPUT))
+    dropped = L.run_to_sink(L.live_state_stream(stream, watermark), f"{root}/out", f"{root}/ckpt")
+    return dropped, {r.seq: r for r in spark.read.schema(L.LIVE_SCHEMA).parquet(f"{root}/out").collect()}
+
+
+def test_stream_out_of_order_late_and_restart(spark):
+    root = scratch_path(spark, "live-order")
+    _files(spark, f"{root}/in", [(1, "2024-01-01 10:00:00", "Approved"), (2, "2024-01-01 10:30:00", "Approved")],
+           [(3, "2024-01-01 10:20:00", "Approved"), (4, "2024-01-01 10:35:00", "Rejected")])
+    dropped, out = _replay(spark, root)
+    assert dropped == 0
+    assert [(out[i].live_txn_count_10min, out[i].live_txn_count_1hour, out[i].live_time_since_last) for i in (1, 2, 3, 4)] == [
+        (1, 1, 3600.0), (1, 2, 1800.0), (1, 2, 1200.0), (2, 4, 300.0)]
+    assert [out[i].session_count for i in (1, 2, 3, 4)] == [0, 1, 2, 3]
+    assert [out[i].session_month_spending for i in (1, 2, 3, 4)] == [0.0, 100.0, 200.0, 300.0]
+    # a restart with new rows: state goes on; a row behind the watermark (20:00 - 2 h) is dropped and counted
+    _files(spark, f"{root}/in", [(5, "2024-01-01 20:00:00", "Approved")])
+    _files(spark, f"{root}/in", [(6, "2024-01-01 09:00:00", "Approved"), (7, "2024-01-01 19:30:00", "Approved")])
+    dropped, out = _replay(spark, root)
+    assert dropped + out[6].late == 1 and not any(r.late for i, r in out.items() if i != 6)
+    assert out[6].session_count is None
+    assert (out[5].session_count, out[5].live_txn_count_1hour) == (3, 1)
+    assert out[5].live_time_since_last == 9.5 * 3600
+    # 7 is earlier than 5: it sees neither 5's time nor anything younger than 10:30, but 5 in the session
+    assert (out[7].session_count, out[7].live_txn_count_1hour, out[7].live_time_since_last) == (4, 1, 9 * 3600)
+
+
+def test_stream_equals_batch_in_order(spark):
     from acctsentry.streaming import live as L
 
     root = scratch_path(spark, "live-test")
     L.run_to_sink(L.live_state_stream(L.events_stream(spark, SF_SMALL)), f"{root}/out", f"{root}/ckpt")
-    cols = [S.SEQ, "live_txn_count_10min", "live_txn_count_1hour", "live_time_since_last", "session_count"]
+    cols = [S.SEQ, "live_txn_count_10min", "live_txn_count_1hour", "live_time_since_last", "session_count", "session_month_spending"]
     got = spark.read.schema(L.LIVE_SCHEMA).parquet(f"{root}/out").select(*cols).toPandas()
     want = L.approved_velocity(V.txn_events(spark, SF_SMALL)).select(*cols).toPandas()
     got = got.sort_values(S.SEQ).reset_index(drop=True)
@@ -97,9 +141,86 @@ def test_stream_equals_batch_and_restarts(spark):
     assert len(got) == len(want) > 0
     for c in cols:
         assert np.allclose(got[c].astype(float), want[c].astype(float)), c
-    # restart from the checkpoint: nothing new to process, output unchanged
-    L.run_to_sink(L.live_state_stream(L.events_stream(spark, SF_SMALL)), f"{root}/out", f"{root}/ckpt")
-    assert spark.read.schema(L.LIVE_SCHEMA).parquet(f"{root}/out").count() == len(got)
+
+
+def test_live_decisions_have_all_legs(spark, scaled):
+    from acctsentry.operators import profile as PR
+    from acctsentry.operators.decision import SERVING_FEATURES, serving_features
+    from acctsentry.streaming import live as L
+
+    root = scratch_path(spark, "live-legs")
+    _files(spark, f"{root}/in", [(1, "2024-01-01 10:00:00", "Approved"), (2, "2024-01-02 10:00:00", "Approved")])
+    _replay(spark, root)
+    live = spark.read.schema(L.LIVE_SCHEMA).parquet(f"{root}/out")
+    stored = spark.createDataFrame([(1, 10, "2024-01-01 08:00:00", 50.0, "S")], "CustomerId long, FromAccountNo long, "
+                                   "CreateDate string, AmountInAed double, TransferType string") \
+        .withColumn("CreateDate", F.to_timestamp("CreateDate"))
+    m = FE.model_matrix(FE.feature_table(V.txn_events(spark, SF_SMALL))).checkpoint(eager=True)
+    scaler = fit_scaler(m)
+    forest = IF.train_iforest(apply_scaler(m, scaler), n_estimators=10)
+    ae = AE.train_autoencoder(apply_scaler(m, scaler), epochs=2)
+    ae.threshold = 0.0  # everything is an anomaly
+    prof, months = PR.account_profile(stored), PR.month_totals(stored)
+    out = {r.seq: r for r in L.live_decisions(live, prof, months, scaler, forest, ae).collect()}
+    assert [out[i].current_month_spending for i in (1, 2)] == [50.0, 150.0]
+    assert out[1].threshold == 50.0 + 4 * 2000 and out[1].ae_flag and out[1].is_fraud and out[1].risk_score != 0.0
+    assert out[1].reasons[-1].startswith("Autoencoder anomaly")
+    rules_only = {r.seq: r for r in L.live_decisions(live, prof, months).collect()}
+    assert not rules_only[1].is_fraud and rules_only[1].ae_reconstruction_error is None
+    served = serving_features(PR.with_profile(live, prof))
+    assert len(SERVING_FEATURES) == 26 and set(SERVING_FEATURES) <= set(served.columns)
+    log = L.log_rows(L.live_decisions(live, prof, months)).collect()
+    assert {(r.CustomerID, r.FromAccountNo, r.Status) for r in log} == {(1, "10", "Approved")}
+
+
+def test_one_row_account_is_decided_with_the_fixed_deviation(spark):
+    from acctsentry.operators.profile import rule_decisions
+
+    df = spark.createDataFrame([(1, "c", "a", "b", 5000.0, "S", "2024-01-01 10:00:00")],
+                               "seq long, CustomerId string, FromAccountNo string, ReceipentAccount string, AmountInAed double, "
+                               "TransferType string, CreateDate string")
+    assert rule_decisions(FE.feature_table(df)).first()["threshold"] == 9000.0
+
+
+def test_missing_feature_and_non_finite_error(spark, scaled):
+    from acctsentry.operators.autoencoder import score_autoencoder
+
+    forest = IF.train_iforest(scaled.limit(500), n_estimators=5)
+    r = IF.score_iforest(scaled.drop("hour").limit(3), forest, keep=[S.SEQ]).collect()
+    assert len(r) == 3 and all(x.anomaly_score is None and x.is_anomaly is None for x in r)
+    errors = spark.createDataFrame([(1, float("inf")), (2, float("nan")), (3, None), (4, 2.0), (5, 1.0)],
+                                   "seq long, reconstruction_error double")
+    got = {x.seq: (x.reconstruction_error, x.is_anomaly) for x in score_autoencoder(errors, 1.0).collect()}
+    assert got == {1: (999.0, True), 2: (999.0, True), 3: (None, None), 4: (2.0, True), 5: (1.0, False)}
+
+
+def test_exact_order_statistics(spark):
+    from acctsentry.operators import quantile as Q
+
+    df = spark.range(300_000).selectExpr("(id * 7919) % 300007 as x")
+    want = np.sort((np.arange(300_000) * 7919) % 300_007)
+    for k in (0, 1, 14_999, 150_000, 299_999):
+        assert Q.kth_value(df, "x", k) == want[k]
+    assert Q.exact_quantile(df, "x", 0.05) == pytest.approx(np.percentile(want, 5))
+    ties = spark.range(250_000).selectExpr("id % 2 as x")
+    assert (Q.kth_value(ties, "x", 124_999), Q.kth_value(ties, "x", 125_000)) == (0, 1)
+
+
+def test_training_does_not_depend_on_partitions(spark, scaled):
+    some = scaled.where(F.col(S.SEQ) <= 1501).checkpoint(eager=True)  # 1 row is left over in a batch
+    a = AE.train_autoencoder(some.repartition(3), epochs=2, workers=3)
+    b = AE.train_autoencoder(some.repartition(7), epochs=2, workers=3)
+    assert all(np.array_equal(a.params[k], b.params[k]) for k in a.params)
+
+
+def test_saved_scaler(spark, scaled):
+    from acctsentry.operators.scaler import load_scaler, save_scaler
+
+    path = scratch_path(spark, "scaler")
+    sc = fit_scaler(scaled)
+    save_scaler(sc, path)
+    assert sorted(load_scaler(spark, path).collect()) == sorted(sc.collect())
+    assert load_scaler(spark, scratch_path(spark, "none")) is None
 
 
 def test_rejected_rows_do_not_change_state(spark):
