@@ -308,13 +308,13 @@ def beneficiary_pass(p: DataFrame) -> DataFrame:
         "_first_chunk",
         F.row_number().over(Window.partitionBy(*KN, *BN).orderBy("_t")) == 1,
     )
-    rows = rows.join(first, [*KN, *BN, "_t"], "left")
     keys = [*KN, *BN, "_t"]
     _, by_row = _orders(keys)
     rows = rows.select(
         "*", (_in_range(keys, S.WINDOW_30D * X.MICROS) - _later_ties(keys)).alias("_bene_30d")
     ).where(~F.col("_halo"))
-    rows = rows.withColumn("_first_in_chunk", F.row_number().over(by_row) == 1)
+    # The join comes after the windows: it finds the rows dealt and sorted by its keys.
+    rows = rows.withColumn("_first_in_chunk", F.row_number().over(by_row) == 1).join(first, keys, "left")
     key_null = ~_key_not_null()
     is_new = F.when(key_null, F.lit(None)).otherwise(
         (F.col("_first_in_chunk") & F.col("_first_chunk")).cast("int")
@@ -337,7 +337,6 @@ def velocity_pass(p: DataFrame, groups: DataFrame) -> DataFrame:
     partitions; one exchange and one sort of the rows."""
     narrow = [*KN, "_us", "_us_sort", S.SEQ]
     rows = _with_halo(p, X.DAY_US, S.WINDOW_1HOUR * X.MICROS, narrow)
-    rows = rows.join(groups, [*KN, "_t"], "left")
     keys = [*KN, "_t"]
     _, by_row = _orders(keys)
     ties = _later_ties(keys)
@@ -358,7 +357,7 @@ def velocity_pass(p: DataFrame, groups: DataFrame) -> DataFrame:
         F.coalesce(
             F.sum(amt).over(by_row.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
         ).alias("_day_before"),
-    )
+    ).join(groups, keys, "left")
 
 
 def _finish(v: DataFrame, out_cols: list[str]) -> DataFrame:

@@ -560,7 +560,7 @@ SELECT seq, k > 0 AS is_fraud, CAST(k AS BIGINT) AS n_reasons, round(threshold,
 
 
 def _ieee_round6(sql: str) -> str:
-    """Rewrite every ``round(expr, 6)`` as ``floor(expr * 1e6 + 0.5) / 1e6``,
+    """Rewrite every ``round(expr, 6)`` as ``floor(expr * 1e6 + 0.5001) / 1e6``,
     the same IEEE steps the Spark side uses."""
     out, i = [], 0
     while True:
@@ -577,5 +577,5 @@ def _ieee_round6(sql: str) -> str:
         if digits.strip() != "6":
             out.append(sql[i:k])
         else:
-            out.append(sql[i:j] + f"(floor(CAST({_ieee_round6(head)} AS DOUBLE) * 1000000.0 + 0.5) / 1000000.0)")
+            out.append(sql[i:j] + f"(floor(CAST({_ieee_round6(head)} AS DOUBLE) * 1000000.0 + 0.5001) / 1000000.0)")
         i = k

@@ -35,6 +35,7 @@ def main() -> None:
     from acctsentry.operators import features as FE
     from acctsentry.operators import iforest as IF
     from acctsentry.operators import profile as PR
+    from acctsentry.operators.decision import decide, score_models
     from acctsentry.operators.scaler import apply_scaler, fit_scaler
     from acctsentry.plans import queries as Q
     from acctsentry.sources import views as V
@@ -57,13 +58,17 @@ def main() -> None:
     timed("feature_table", lambda: run(feats))
     timed("rule_decisions", lambda: run(PR.rule_decisions(FE.feature_table(txn))))
     matrix = timed("model_matrix", lambda: FE.model_matrix(FE.feature_table(txn)).checkpoint(eager=True))
-    scaled = timed("scaler", lambda: apply_scaler(matrix, fit_scaler(matrix)).checkpoint(eager=True))
+    scaler = fit_scaler(matrix)
+    scaled = timed("scaler", lambda: apply_scaler(matrix, scaler).checkpoint(eager=True))
     forest = timed("iforest_train", lambda: IF.train_iforest(scaled))
     timed("iforest_score", lambda: run(IF.score_iforest(scaled, forest, keep=[S.SEQ])))
     ae = timed("ae_train", lambda: AE.train_autoencoder(scaled))
     errs = timed("ae_score", lambda: AE.score_errors(scaled, ae, keep=[S.SEQ]).checkpoint(eager=True))
     cfg = AE.compute_threshold(errs)
     timed("ae_decide", lambda: run(AE.score_autoencoder(errs, cfg["threshold"])))
+    # The product: features, rules and both models decide every transfer (models trained above).
+    ae.threshold = cfg["threshold"]
+    timed("hybrid_decisions", lambda: run(decide(score_models(PR.rule_decisions(FE.feature_table(txn)), scaler, forest, ae))))
     timed("approved_velocity", lambda: run(L.approved_velocity(txn)))
     timed("live_stream", lambda: run(Q.q_live_stream(spark, sf_dir)))
     timed("feature_table_lineitem", lambda: run(Q.q_feature_table_lineitem(spark, sf_dir)))
@@ -77,6 +82,8 @@ def main() -> None:
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
         "rows": n_rows,
         "feature_rows_per_sec": round(n_rows / times["feature_table"], 1),
+        "decided_per_sec": round(n_rows / times["hybrid_decisions"], 1),
+        "live_ms_per_transfer": round(1000 * times["live_stream"] / n_rows, 3),
         "ae_epochs": len(ae.history),
     }))
     spark.stop()
