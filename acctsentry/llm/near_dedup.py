@@ -343,11 +343,11 @@ def near_duplicates(
     lean = nodes.select("node", "n", "regs")
     stars = in_bucket.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
     tested = materialized(likely_pairs(stars, lean, share))
-    groups = materialized(near_labels(tested))
+    groups = materialized(connected_components(tested))
     # What stars leave apart: pairs of a bucket that lie in different groups of likely
     # pairs. (A bucket of two holds no other pair than the one that is tested.)
     left = (in_bucket.where("size > 2 and node <> rep").select(F.col("bucket").alias("group"), "node").join(groups, "node", "left")
-            .select("group", "node", F.coalesce("label", "node").alias("comp")))
+            .select("group", "node", F.coalesce("root", "node").alias("comp")))
     between = cross_pairs(left, lean, share).join(tested, ["a", "b"], "left_anti")
     pairs = materialized(tested.union(between))
     sets = full_sets(
@@ -355,7 +355,7 @@ def near_duplicates(
     links = materialized(verified(pairs, sets, share))
     # And pairs inside such a group: each node is in one, so its full set is there to decide.
     apart = groups.join(near_labels(links).withColumnRenamed("label", "own"), "node", "left").select(
-        F.col("label").alias("group"), "node", F.coalesce("own", "node").alias("comp"))
+        F.col("root").alias("group"), "node", F.coalesce("own", "node").alias("comp"))
     inside = links_inside(apart, sets, share)
     roots = connected_components(materialized(links.union(inside)))
 
