@@ -33,6 +33,8 @@ REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 32 << 20
 #: Bytes of an archive's first records from which its dictionary is trained, and the dictionary's size.
 SAMPLE_BYTES, DICT_BYTES = 1 << 20, 16 << 10
+#: Bytes of records that a reader returns at once.
+BATCH_BYTES = 4 << 20
 #: A record's headers may be this long; a longer block of headers is refused.
 HEADER_BYTES = 1 << 16
 
@@ -259,37 +261,40 @@ RECORD = T.StructType([
     T.StructField("payload_digest", T.StringType()), T.StructField("payload", T.BinaryType())])
 
 
-def read_archives(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
-    """The records of the manifest's archives, each validated; ``payload`` is
-    NULL for revisits, whose length and digest are those of the full payload.
+def read_archives(manifest: DataFrame, path: str) -> DataFrame:
+    """The records of the manifest's archives below ``path``, each validated;
+    ``payload`` is NULL for revisits, whose length and digest are those of the
+    full payload.
 
-    Raises ``WarcError`` in the task for an archive or record that breaks the
-    format, and for an archive whose records differ in number from the manifest's.
+    A task streams its archives record by record; nothing is shuffled. Raises
+    ``WarcError`` in the task for an archive or record that breaks the format,
+    and for an archive whose records differ in number from the manifest's.
     """
     schema = to_arrow_schema(RECORD)
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(path)
-        .select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content")
-        .join(manifest, "archive"))
+
+    def as_batch(found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*found), schema, strict=True)], schema=schema)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = pafs.FileSystem.from_uri(path)
         for batch in batches:
-            for name, content, n in zip(*(batch.column(c) for c in ("archive", "content", "records")), strict=True):
+            for name, n in zip(batch.column("archive").to_pylist(), batch.column("records").to_pylist(), strict=True):
                 found, size, seen = [], 0, 0
-                for data in frames(pa.BufferReader(content.as_buffer())):
-                    r = parsed(data)
-                    seen += 1
-                    size += len(data)
-                    found.append((page_of(r["id"]), r["uri"], r["type"], page_of(r["refers_to"]), r["length"], r["digest"], r["payload"]))
-                    if size >= 4 << 20:
-                        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*found), schema, strict=True)], schema=schema)
-                        found, size = [], 0
-                if seen != n.as_py():
+                with fs.open_input_stream(f"{root}/{name}", compression=None) as stream:
+                    for data in frames(stream):
+                        r = parsed(data)
+                        seen += 1
+                        size += len(data)
+                        found.append((page_of(r["id"]), r["uri"], r["type"], page_of(r["refers_to"]), r["length"], r["digest"], r["payload"]))
+                        if size >= BATCH_BYTES:
+                            yield as_batch(found)
+                            found, size = [], 0
+                if seen != n:
                     raise WarcError(f"{name} has {seen} records, not {n}")
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*found), schema, strict=True)], schema=schema)
+                    yield as_batch(found)
 
-    return files.mapInArrow(read, RECORD)
+    return manifest.select("archive", "records").mapInArrow(read, RECORD)
 
 
 def archive_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -297,4 +302,4 @@ def archive_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:
     path = scratch_path(spark, "warc")
     if ":/" not in path:
         path = "file://" + path
-    return read_archives(spark, path, write_archives(pages, path))
+    return read_archives(write_archives(pages, path), path)
