@@ -214,9 +214,10 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     rows; the manifest is materialised, so archives that a lost or repeated
     task leaves behind are in no manifest and are not read.
 
-    Scale: payloads don't move; the owner of each digest comes from a partial
-    aggregate over (digest, id), and its table has one row per large payload
-    that occurs twice or more, joined by digest (AQE splits a hot one).
+    Scale: the owner of each digest comes from a partial aggregate, and the
+    owners' table has one row per large payload that occurs twice or more.
+    Payloads move once, to meet it by digest (AQE splits a hot one), and not
+    at all where AQE finds the table small enough to broadcast.
     """
     base = pages.select(
         col(id_col).cast("long").alias("page"), col(url_col).cast("string").alias("url"),
