@@ -247,11 +247,11 @@ def chunk_tails(p: DataFrame) -> DataFrame:
     ).where(F.col("_rn") == 1).drop("_rn")
 
 
-def group_table(p: DataFrame) -> DataFrame:
-    """Every (account, day chunk) present, with its carry and all group
-    statistics; joined to the rows inside the velocity pass."""
+def group_table(keyed: DataFrame, p: DataFrame) -> DataFrame:
+    """Every (account, day chunk) of the keyed rows, with its carry and all
+    group statistics; joined to the rows inside the velocity pass."""
     return (
-        chunk_tails(p)
+        chunk_tails(keyed)
         .join(account_stats(p), K, "left")
         .join(customer_stats(p), S.CUSTOMER, "left")
         .join(calendar_tables(p), [*K, "_t"], "left")
@@ -420,8 +420,13 @@ def feature_table(raw: DataFrame) -> DataFrame:
     out_cols = raw_cols + S.MODEL_FEATURES + ["num_accounts", "last_txn_time", "month_spending_before"]
     if not (S.CUSTOMER in present and S.ACCOUNT in present):
         return _keyless_features(p, out_cols)
-    b = beneficiary_pass(p)
-    v = velocity_pass(b, group_table(p))
+    # Rows without an account key have constants where others have an order; they don't
+    # meet in one task, but pass by and take their customer's statistics.
+    keyed = p.where(_key_not_null())
+    v = velocity_pass(beneficiary_pass(keyed), group_table(keyed, p))
+    loose = p.where(~_key_not_null()).join(customer_stats(p), S.CUSTOMER, "left")
+    v = v.unionByName(loose.select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in v.schema.fields if f.name not in loose.columns]))
     out = _finish(v, out_cols)
     # A date column without one usable date counts as none; a usable one ends the look at once.
     if S.CREATED not in present or p.where(F.col(S.CREATED).isNotNull()).isEmpty():
