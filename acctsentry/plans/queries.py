@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from acctsentry import schema as S
 from acctsentry.operators import features as FE
 from acctsentry.operators import profile as PR
-from acctsentry.plans import oracle as O
 from acctsentry.sources import views as V
 
 K = list(S.ACCOUNT_KEY)

@@ -28,8 +28,6 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
 
-    from pyspark.sql import functions as F
-
     from acctsentry import schema as S
     from acctsentry.operators import autoencoder as AE
     from acctsentry.operators import features as FE
