@@ -1,6 +1,6 @@
 """Near-duplicate groups with SetSketch registers.
 
-Each text's set of word shingles becomes registers: the minima of 128 hashes,
+Each text's set of word shingles becomes registers: the minima of 256 hashes,
 truncated on an exponential scale. Bands of equal registers give candidates, a
 joint likelihood over all registers drops the unlikely ones, and the full
 shingle sets decide.
@@ -8,6 +8,8 @@ shingle sets decide.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,12 +25,12 @@ from acctsentry.llm.components import connected_components
 from acctsentry.llm.decontamination import filter_bits, may_have
 
 #: Registers of a sketch; the first ``BANDS * BAND`` of them form the bands.
-#: Two sets of similarity 0.8 share no band with probability (1 - 0.8**4)**32 < 1e-7.
-REGISTERS, BANDS, BAND = 128, 32, 4
+#: Two sets of similarity 0.8 share no band with probability (1 - 0.8**4)**40 < 1e-9.
+REGISTERS, BANDS, BAND = 256, 40, 4
 #: Base, rate and highest value of the registers.
 BASE, RATE, TOP = 1.001, 20.0, 65534
-#: Standard errors by which an estimate may lie under the threshold and still be verified.
-SLACK = 4.5
+#: Probability with which the likelihood filter may drop a pair that is just similar enough.
+MISS = 1e-6
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 1024
 
@@ -107,6 +109,17 @@ def in_bands(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "regs").mapInArrow(run, T.StructType([nodes.schema["node"], T.StructField("bucket", T.LongType())]))
 
 
+@functools.cache
+def least_equal(registers: int, share: float) -> int:
+    """Equal registers that two sets of equal size and similarity ``share`` have
+    fewer of with probability ``MISS`` at most (exact binomial tail)."""
+    k, tail = 0, (1 - share) ** registers
+    while tail <= MISS:
+        k += 1
+        tail += math.comb(registers, k) * share**k * (1 - share) ** (registers - k)
+    return k
+
+
 def likely(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray, share: float) -> np.ndarray:
     """Whether the joint likelihood of two sketches allows a similarity of ``share``.
 
@@ -134,8 +147,8 @@ def likely(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray, share
         c, d = lo + (hi - lo) / 3, hi - (hi - lo) / 3
         left = loss(c) < loss(d)
         hi, lo = np.where(left, d, hi), np.where(left, lo, c)
-    error = np.sqrt(share * (1 - share) / ra.shape[-1])
-    return ((lo + hi) / 2 >= share - SLACK * error) & (top >= share - 1e-9)
+    least = (least_equal(ra.shape[-1], share) - 0.5) / ra.shape[-1]
+    return ((lo + hi) / 2 >= least) & (top >= share - 1e-9)
 
 
 def likely_pairs(pairs: DataFrame, nodes: DataFrame, share: float) -> DataFrame:

@@ -1,13 +1,16 @@
 """NULLs, empty and long texts, repeated rows, empty tables and clashing
 column names, operator by operator."""
 
+import math
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
+from acctsentry.llm import near_dedup
 from acctsentry.llm.decontamination import decontaminate
 from acctsentry.llm.line_dedup import drop_shared_lines
 from acctsentry.llm.near_dedup import near_duplicates
@@ -212,3 +215,21 @@ def test_warc(spark):
         ("1", "revisit", 2, 2003), ("2", "response", None, 2003), ("3", "response", None, 5), ("4", "response", None, 5), ("5", "response", None, 0),
         ("None", "revisit", 2, 2003), ("7", "response", None, 1400), ("7", "response", None, 1400), ("6", "revisit", 7, 1400)])
     assert archive_pages(spark, df.limit(0)).count() == 0
+
+
+def test_sketch_misses():
+    """Two sets of equal size and similarity 0.8: the exact binomial tails of what bands and likelihood filter miss."""
+    def chance(equal):
+        return math.comb(near_dedup.REGISTERS, equal) * 0.8**equal * 0.2 ** (near_dedup.REGISTERS - equal)
+
+    def passes(equal):
+        a = np.full((1, near_dedup.REGISTERS), 100, np.uint16)
+        b = a.copy()
+        b[0, equal:] = 99 + 2 * (np.arange(near_dedup.REGISTERS - equal) % 2)
+        return near_dedup.likely(a, b, np.array([1000.0]), np.array([1000.0]), 0.8)[0]
+
+    first = next(k for k in range(near_dedup.REGISTERS) if passes(k))
+    assert sum(chance(k) for k in range(first)) <= near_dedup.MISS <= 1e-6
+    assert sum(chance(k) for k in range(first + 1)) > near_dedup.MISS
+    assert (1 - 0.8**near_dedup.BAND) ** near_dedup.BANDS < 1e-9
+    assert near_dedup.BANDS * near_dedup.BAND <= near_dedup.REGISTERS
