@@ -35,8 +35,6 @@ ARCHIVE_BYTES = 32 << 20
 SAMPLE_BYTES, DICT_BYTES = 1 << 20, 16 << 10
 #: Bytes of records that a reader returns at once.
 BATCH_BYTES = 4 << 20
-#: A record's headers may be this long; a longer block of headers is refused.
-HEADER_BYTES = 1 << 16
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -147,7 +145,7 @@ def frames(stream: io.RawIOBase) -> Iterator[bytes]:
 def parsed(data: bytes) -> dict:
     """Headers and payload of one record, checked: version line, mandatory
     fields, block length, the two line ends behind it, and both digests."""
-    end = data.find(b"\r\n\r\n", 0, HEADER_BYTES)
+    end = data.find(b"\r\n\r\n")
     if end < 0:
         raise WarcError("no end of the headers")
     version, *lines = data[:end].decode("utf-8").split("\r\n")
@@ -206,8 +204,8 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     Of rows with equal payloads of ``REVISIT_BYTES`` and more, the one with the
     largest id is a response (all of them, if rows share that id) and the
     others are revisits of it. Defined cases: a NULL payload is empty; a NULL
-    id is smaller than all others; a NULL URL gives no target header; an
-    empty table gives no archive.
+    id is smaller than all others; a NULL URL gives no target header, a URL
+    of any length one line; an empty table gives no archive.
 
     ``path`` is any place that pyarrow's file systems know and that executors
     share. A task writes archives under fresh names and reports them in its

@@ -217,6 +217,14 @@ def test_warc(spark):
     assert archive_pages(spark, df.limit(0)).count() == 0
 
 
+def test_warc_long_url(spark):
+    long = "data:text/html," + "x" * 200_000
+    rows = [(1, long, "small"), (2, "http://b", "other"), (3, long, "p" * 2000), (4, "\n" * 70_000, "p" * 2000)]
+    got = archive_pages(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: (r.url, r.record_type, r.refers_to) for r in got} == {
+        1: (long, "response", None), 2: ("http://b", "response", None), 3: (long, "revisit", 4), 4: ("%0A" * 70_000, "response", None)}
+
+
 def test_sketch_misses():
     """Two sets of equal size and similarity 0.8: the exact binomial tails of what bands and likelihood filter miss."""
     def chance(equal):
