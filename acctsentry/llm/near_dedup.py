@@ -181,7 +181,8 @@ def full_sets(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, n: int) ->
 
     # The one text of each class that its node is named after. A filter of fixed
     # size keeps most other texts from being shuffled.
-    chosen = materialized(nodes.join(wanted, "node", "left_semi").select("node", F.col("th").alias("want")))
+    chosen = materialized(
+        nodes.join(wanted, "node", "left_semi").select("node", F.col("id").alias("want_id"), F.col("th").alias("want")))
     bits = filter_bits(chosen.select(F.col("want").alias("h")))
 
     def may_be_wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +190,7 @@ def full_sets(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, n: int) ->
             yield batch.filter(pa.array(may_have(bits, batch.column("th").to_numpy().view(np.uint64))))
 
     some = texts.where("text is not null").mapInArrow(may_be_wanted, texts.schema)
-    rows = some.join(chosen, (some["id"] == chosen["node"]) & (some["th"] == chosen["want"])).select("node", "text")
+    rows = some.join(chosen, (some["id"] == chosen["want_id"]) & (some["th"] == chosen["want"])).select("node", "text")
     sets = A.per_text(rows, ["node"], "text", run, T.StructType([T.StructField("set", T.BinaryType())]))
     return materialized(sets.dropDuplicates(["node"]))
 
@@ -329,10 +330,12 @@ def near_duplicates(
     Defined cases: NULL texts and texts without words have an empty set and
     are linked with nothing; a row with a NULL id links nothing, its
     ``component_id`` is NULL and it is kept; rows with the same id and text
-    are one text and are all kept or all dropped; an empty table is fine. Sets
+    are one text and are all kept or all dropped; different texts of one id
+    are compared each for itself; an empty table is fine. Sets
     are compared as sets of 64-bit shingle hashes.
 
-    Scale: equal sets are one node, so copies are never paired. In a bucket
+    Scale: equal sets are one node, numbered when nodes are written, so copies
+    are never paired. In a bucket
     every node is paired with the least one only; what that leaves apart is
     compared across components, in blocks of bounded size, with the full sets
     as the judge.
@@ -348,7 +351,7 @@ def near_duplicates(
     nodes = materialized(
         signed.where("n > 0 and id is not null").groupBy("s1", "s2")
         .agg(F.min(F.struct("id", "th")).alias("least"), F.first("n").alias("n"), F.first("regs").alias("regs"))
-        .select(F.col("least.id").alias("node"), F.col("least.th").alias("th"), "s1", "s2", "n", "regs"))
+        .select(F.monotonically_increasing_id().alias("node"), "least.id", "least.th", "s1", "s2", "n", "regs"))
     banded = in_bands(nodes)
     shared = banded.groupBy("bucket").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("size")).where("size > 1")
     in_bucket = materialized(banded.join(shared, "bucket"))
@@ -372,8 +375,9 @@ def near_duplicates(
     inside = links_inside(apart, sets, share)
     roots = connected_components(materialized(links.union(inside)))
 
-    labels = nodes.join(roots, "node", "left").select(
-        F.col("s1").alias("l1"), F.col("s2").alias("l2"), F.coalesce("root", "node").alias("root"))
+    least = roots.join(nodes.select("node", "id"), "node").groupBy("root").agg(F.min("id").alias("least"))
+    labels = nodes.join(roots.join(least, "root"), "node", "left").select(
+        F.col("s1").alias("l1"), F.col("s2").alias("l2"), F.coalesce("least", nodes["id"]).alias("root"))
     result = (
         signed.select("id", "th", "n", "s1", "s2").distinct()
         .join(labels, (F.col("s1") == F.col("l1")) & (F.col("s2") == F.col("l2")) & (F.col("n") > 0), "left")

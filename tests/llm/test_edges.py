@@ -90,6 +90,16 @@ def test_near_chain_and_strays(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
 
+def test_near_copies_of_an_id_with_several_texts(spark):
+    """Each text of a repeated id keeps its own near copies."""
+    texts = [" ".join(f"{c}{k}" for k in range(100)) for c in "abc"]
+    rows = [(5, t) for t in texts] + [(6 + i, f"{t} tail") for i, t in enumerate(texts)] + [(2, f"{texts[1]} head"), (9, "other words of nine")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=4)
+    want = {(5, texts[0]): 5, (5, texts[1]): 2, (5, texts[2]): 5, (6, rows[3][1]): 5, (7, rows[4][1]): 2, (8, rows[5][1]): 5,
+            (2, rows[6][1]): 2, (9, rows[7][1]): 9}
+    assert {(r.doc_id, r.text): r.component_id for r in got.collect()} == want
+
+
 def test_decontamination(spark, docs, nothing):
     items = spark.createDataFrame(
         [(1, LINE), (2, "tail"), (2, "tail"), (3, None), (4, ""), (5, " ".join(LONG.split()[500:540])), (None, "own text"),
