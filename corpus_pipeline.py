@@ -9,10 +9,10 @@ return the columns of ``documents``. ``run`` writes each stage's rows below
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctsentry.llm.common import table
+from acctsentry.llm.common import col, table
 from acctsentry.llm.decontamination import decontaminate
 from acctsentry.llm.line_dedup import drop_shared_lines
 from acctsentry.llm.near_dedup import near_duplicates
@@ -27,25 +27,41 @@ ORACLE_SQL = None
 TOXIC = 0.5
 
 
+def set_aside(docs: DataFrame, *working: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with its columns of the working names renamed, and what selects
+    the columns of ``docs`` from it again."""
+    taken, names = {c.lower() for c in docs.columns}, {}
+    for c in docs.columns:
+        if c.lower() in working:
+            names[c] = c
+            while names[c].lower() in taken:
+                names[c] += "_"
+            taken.add(names[c].lower())
+    return docs.withColumnsRenamed(names), [col(names.get(c, c)).alias(c) for c in docs.columns]
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go. It is fitted on labelled rows
     of the raw table, those kept for its evaluation (see op8) left out."""
     apply_engine_conf(spark)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     model = train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where(~held_out))
-    return score_texts(docs, model, docs.columns).where(F.col("score") < TOXIC).drop("score")
+    own, back = set_aside(docs, "score")
+    return score_texts(own, model, own.columns).where(F.col("score") < TOXIC).select(*back)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Shared lines stay in one document; ``n_chars`` follows the text."""
     apply_engine_conf(spark)
-    return drop_shared_lines(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    own, back = set_aside(docs, "n_lines", "n_dropped")
+    return drop_shared_lines(own).withColumn("n_chars", F.char_length("text").cast("long")).select(*back)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: five words, similarity 0.8."""
     apply_engine_conf(spark)
-    return near_duplicates(docs, shingle=5, share=0.8).where("kept").select(*docs.columns)
+    own, back = set_aside(docs, "n_shingles", "component_id", "kept")
+    return near_duplicates(own, shingle=5, share=0.8).where("kept").select(*back)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,12 +74,15 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece numbers of each text, and whether they spell it again."""
+    """Piece numbers of each text, and whether they spell it again. Columns of
+    the new names are replaced."""
     apply_engine_conf(spark)
     model = public_tokenizers.path("piece_bpe_32k.model")
     seen = F.translate(F.coalesce("text", F.lit("")), "▁", " ")
-    return decode(encode(docs, model), model).select(
-        *docs.columns, "pieces", F.size("pieces").cast("long").alias("n_pieces"), (F.col("decoded") == seen).alias("round_trip"))
+    kept = [col(c) for c in docs.columns if c.lower() not in ("pieces", "n_pieces", "round_trip")]
+    own, back = set_aside(docs.select(*kept), "decoded")
+    return decode(encode(own, model), model).select(
+        *back, "pieces", F.size("pieces").cast("long").alias("n_pieces"), (F.col("decoded") == seen).alias("round_trip"))
 
 
 STAGES = [

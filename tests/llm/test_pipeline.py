@@ -58,3 +58,18 @@ def test_empty_and_null_documents(spark):
     for name, stage in P.STAGES:
         assert stage(spark, odd, SF_SMALL).count() == 2, name
         assert stage(spark, odd.limit(0), SF_SMALL).count() == 0, name
+
+
+def test_columns_of_working_names(spark):
+    """Columns of ``documents`` that are named like a stage's own come through, but for the last stage's results."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(20)
+    extra = ["score", "Score_", "n_lines", "kept", "component_id", "decoded", "pieces", "round_trip"]
+    docs = docs.select("*", *[F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")).alias(c) for c in extra])
+    for name, stage in P.STAGES:
+        got = stage(spark, docs, SF_SMALL)
+        last = name == "sentence_pieces"
+        new = ["pieces", "n_pieces", "round_trip"] if last else []
+        assert got.columns == [c for c in docs.columns if c not in new] + new, name
+        rows = got.collect()
+        assert rows and all(r[c] == f"{c} of {r.doc_id}" for r in rows for c in extra if c not in new), name
+    assert all(r.round_trip and r.n_pieces == len(r.pieces) for r in rows)
