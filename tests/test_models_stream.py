@@ -128,6 +128,20 @@ def test_stream_out_of_order_late_and_restart(spark):
     assert (out[7].session_count, out[7].live_txn_count_1hour, out[7].live_time_since_last) == (4, 1, 9 * 3600)
 
 
+def test_early_drops_are_counted(spark):
+    """More batches than Spark keeps the progress of, with a drop in an early one."""
+    root, kept = scratch_path(spark, "live-drops"), "spark.sql.streaming.numRecentProgressUpdates"
+    times = ["2024-01-01 10:00:00", "2024-01-01 20:00:00", "2024-01-01 20:01:00", "2024-01-01 09:00:00"]
+    times += [f"2024-01-01 20:{i:02}:00" for i in range(2, 14)]
+    _files(spark, f"{root}/in", *[[(i, t, "Approved")] for i, t in enumerate(times)])
+    spark.conf.set(kept, "6")
+    try:
+        dropped, out = _replay(spark, root)
+    finally:
+        spark.conf.unset(kept)
+    assert dropped == 1 and sorted(out) == [i for i in range(len(times)) if i != 3]
+
+
 def test_stream_equals_batch_in_order(spark):
     from acctsentry.streaming import live as L
 
