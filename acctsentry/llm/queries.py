@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from acctsentry.llm.common import table
 from acctsentry.llm.decontamination import decontaminate
 from acctsentry.llm.line_dedup import drop_shared_lines
+from acctsentry.llm.mixing import mix_sources
 from acctsentry.llm.near_dedup import near_duplicates
 from acctsentry.llm.quality import quality_rules
 from acctsentry.llm.secret_scan import BASE_RULES, RULES, find_secrets, span_list
@@ -181,6 +182,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs, shingle=4).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 QUERIES = {
     "op1_sentence_pieces": op1_sentence_pieces,
     "op2_warc": op2_warc,
@@ -192,6 +197,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_near_dedup": op10_near_dedup,
+    "op11_mixing": op11_mixing,
 }
 
 ORACLE_SQL = {
