@@ -15,6 +15,7 @@ from acctsentry.llm.decontamination import decontaminate
 from acctsentry.llm.line_dedup import drop_shared_lines
 from acctsentry.llm.mixing import mix_sources
 from acctsentry.llm.near_dedup import near_duplicates
+from acctsentry.llm.prefix_trie import prefix_trie, rebuilt
 from acctsentry.llm.quality import quality_rules
 from acctsentry.llm.secret_scan import BASE_RULES, RULES, find_secrets, span_list
 from acctsentry.llm.sentence_pieces import decode, encode
@@ -22,6 +23,7 @@ from acctsentry.llm.sharding import shard_by_size
 from acctsentry.llm.token_counts import count_tokens
 from acctsentry.llm.toxicity import score_texts, train
 from acctsentry.llm.warc import archive_pages
+from acctsentry.llm.whitening import fit_whitening, identity_error, whiten
 
 
 def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,6 +188,55 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"), lead=rebuilt()).drop("words")
+
+
+#: Turns become numbers first, so that prefixes are short lists.
+OP12_SQL = r"""
+WITH d AS (
+  SELECT r, t, row_number() OVER (ORDER BY r, t) AS id, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS w
+  FROM (SELECT DISTINCT coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations)),
+o AS (
+  SELECT conv_id AS c, list(d.id ORDER BY turn NULLS FIRST) AS seq
+  FROM conversations x JOIN d ON d.r = coalesce(x.role, '') AND d.t = coalesce(x.text, '')
+  WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (  -- CRC-32 of the digits, bit by bit
+  SELECT c, seq, c - c % 20 AS base,
+         xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(c AS VARCHAR), ''),
+             lambda x: [ascii(x), -1, -1, -1, -1, -1, -1, -1, -1]))),
+             lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END),
+             4294967295) % 4 AS h
+  FROM o),
+s AS (
+  SELECT h.c, list_concat(coalesce(b.seq[1 : h.h], []), h.seq[h.h + 1 :]) AS seq
+  FROM h LEFT JOIN o b ON b.c = h.base),
+p AS (SELECT c, len(seq) AS l, i AS depth, seq[1 : i] AS pre FROM s, range(0, len(seq) + 1) r(i)),
+n AS (
+  SELECT pre, any_value(depth) AS depth, min(c) AS conv_id, count(*) AS n_convs,
+         string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE l = depth) AS ends
+  FROM p GROUP BY pre),
+k AS (
+  SELECT n.*, n.pre[1 : n.depth - 1] AS up, coalesce(q.kids, 0) AS kids,
+         (n.n_convs - 1) * coalesce(d.w, 0) AS saves
+  FROM n LEFT JOIN (SELECT pre[1 : depth - 1] AS pre, count(*) AS kids FROM n WHERE depth > 0 GROUP BY 1) q ON q.pre = n.pre
+  LEFT JOIN d ON d.id = n.pre[n.depth]),
+t AS (
+  SELECT pre[1 : i] AS pre, sum(saves) AS saved, count(*) FILTER (WHERE kids = 0) AS leaves
+  FROM k, range(0, depth + 1) r(i) GROUP BY 1)
+SELECT k.conv_id, k.depth, CASE WHEN k.depth > 0 THEN u.conv_id END AS parent_conv_id, k.n_convs, k.kids AS n_children,
+       t.leaves AS n_leaves, CAST(t.saved AS BIGINT) AS saved_tokens, sha256(coalesce(k.ends, '')) AS ends_sha256
+FROM k JOIN t ON t.pre = k.pre LEFT JOIN k u ON u.pre = k.up AND k.depth > 0
+"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = fit_whitening(vectors)
+    error = identity_error(vectors, model) if model else None
+    return whiten(vectors, model).withColumn("identity_error", F.lit(error).cast("double"))
+
+
 QUERIES = {
     "op1_sentence_pieces": op1_sentence_pieces,
     "op2_warc": op2_warc,
@@ -198,6 +249,8 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_near_dedup": op10_near_dedup,
     "op11_mixing": op11_mixing,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL = {
@@ -205,4 +258,5 @@ ORACLE_SQL = {
     "op3_secret_scan": OP3_SQL,
     "op5_decontamination": OP5_SQL,
     "op7_line_dedup": OP7_SQL,
+    "op12_prefix_trie": OP12_SQL,
 }

@@ -15,7 +15,7 @@ from acctsentry.llm.queries import ORACLE_SQL, QUERIES
 from tests.conftest import SF_MID, SF_SMALL
 from tests.llm import brute
 
-TABLES = ("documents", "pages", "benchmark", "labels")
+TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
 
 
 def rows_of(df):
