@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acctsentry.llm.common import BLANKS, ascii_lower, col, row_struct
+from acctsentry.llm.common import BLANKS, ascii_lower, col, materialized, others, row_struct
+from acctsentry.operators.skew import join_spread
 
 
 def drop_shared_lines(
@@ -25,8 +26,8 @@ def drop_shared_lines(
     stay too).
 
     Returns the input columns, ``text_col`` replaced by the kept lines joined
-    by ``\\n``, plus ``n_lines`` and ``n_dropped`` (columns of these names in
-    the input are replaced).
+    by ``\\n``, plus ``n_lines`` and ``n_dropped`` (columns of these names
+    in the input, in any case, are replaced).
 
     Defined cases: a NULL or empty text is one empty line and comes back as
     the empty text; rows that share an id are one document when documents are
@@ -37,11 +38,11 @@ def drop_shared_lines(
     Scale: what is shuffled by line is two 64-bit hashes (together the line's
     key), id and position, never text. The distinct (hash, id) pairs are
     dealt by hash *and* id, and then counted with partial sums, so that a
-    line of a third of all documents loads no single task. The second join
-    has one row per hash on its right side; AQE splits a hot hash on its left.
+    line of a third of all documents loads no single task. Where lines meet
+    the keeper of their hash, ``join_spread`` deals a hot hash over many tasks.
     The texts move once, to meet the positions that they lose.
     """
-    rest = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
+    rest = others(docs, text_col, "n_lines", "n_dropped")
     base = docs.select(
         row_struct(docs, text_col, "n_lines", "n_dropped").alias("row"),
         col(id_col).alias("id"),
@@ -54,14 +55,14 @@ def drop_shared_lines(
         .where(F.char_length("key") >= min_chars)
         .select("id", "th", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))
     )
-    shared = (
-        keyed.select("h1", "h2", "id").distinct()
-        .groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper"))
+    shared = materialized(
+        keyed.groupBy("h1", "h2", "id").agg(F.count(F.lit(1)).alias("lines"))
+        .groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.sum("lines").alias("lines"), F.max("id").alias("keeper"))
         .where(F.col("n") >= min_docs)
-        .select("h1", "h2", "keeper")
+        .select("h1", "h2", "lines", "keeper")
     )
     losses = (
-        keyed.join(shared, ["h1", "h2"])
+        join_spread(keyed, shared, ["h1", "h2"], "lines", F.struct("id", "pos"))
         .where(~F.col("id").eqNullSafe(F.col("keeper")))
         .groupBy(F.col("id").alias("loser"), F.col("th").alias("loser_th"))
         .agg(F.collect_set("pos").alias("lost"))

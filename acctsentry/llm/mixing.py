@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acctsentry.llm.common import col, materialized, row_struct
+from acctsentry.llm.common import col, materialized, others, row_struct
 from acctsentry.operators.skew import join_spread, ranked
 
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
@@ -151,8 +151,8 @@ def mix_sources(
     range sort that spreads a hot one, and meet the plan in a join that
     does so too. Nothing but sums reaches the driver.
     """
-    added = {"size", "source_size", "target", "taken"}
-    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in added]
+    free = others(docs, "size", "source_size", "target", "taken")
+    keep = free if keep is None else [c for c in keep if c in free]
     base = materialized(docs.select(
         row_struct(docs, *[c for c in docs.columns if c not in keep]).alias("row"),
         F.coalesce(col(source_col).cast("string"), F.lit("")).alias("s"), col(source_col).isNull().alias("sn"),

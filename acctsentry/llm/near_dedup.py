@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acctsentry.llm import arrays as A
-from acctsentry.llm.common import col, materialized, row_struct
+from acctsentry.llm.common import col, forget, materialized, others, row_struct, written
 from acctsentry.llm.components import connected_components
 from acctsentry.llm.decontamination import filter_bits, may_have
+from acctsentry.operators.skew import join_spread
 
 #: Registers of a sketch; the first ``BANDS * BAND`` of them form the bands.
 #: Two sets of similarity 0.8 share no band with probability (1 - 0.8**4)**40 < 1e-9.
@@ -33,6 +34,8 @@ BASE, RATE, TOP = 1.001, 20.0, 65534
 MISS = 1e-6
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 1024
+#: Pairs that a task compares (about): their number, not their bytes, is what takes time.
+PAIRS = 1 << 22
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _MUL = _rng.integers(0, 1 << 31, REGISTERS, np.uint32) * np.uint32(2) + np.uint32(1)
@@ -192,7 +195,7 @@ def full_sets(wanted: DataFrame, nodes: DataFrame, texts: DataFrame, n: int) ->
     some = texts.where("text is not null").mapInArrow(may_be_wanted, texts.schema)
     rows = some.join(chosen, (some["id"] == chosen["want_id"]) & (some["th"] == chosen["want"])).select("node", "text")
     sets = A.per_text(rows, ["node"], "text", run, T.StructType([T.StructField("set", T.BinaryType())]))
-    return materialized(sets.dropDuplicates(["node"]))
+    return written(sets.dropDuplicates(["node"]))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, share: float) -> DataFrame:
@@ -214,22 +217,25 @@ def verified(pairs: DataFrame, sets: DataFrame, share: float) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(check, pairs.select("a", "b").schema)
 
 
-def dealt_out(members: DataFrame) -> DataFrame:
+def dealt_out(members: DataFrame) -> tuple[DataFrame, int]:
     """Rows of groups in which members of different components must be compared.
 
     ``members``: group, node, comp. The members of a group's largest component
     need not be compared with one another, so only the others ("strays") are,
     with all. Both sides are dealt in blocks of ``BLOCK`` by a hash; a task
-    gets one block of members and one of strays (columns m and s), whatever
-    the group's size.
+    gets blocks of members and strays (columns m and s), whatever the group's
+    size. Also returns how many tasks the pairs are to be dealt to.
     """
     sizes = members.groupBy("group", "comp").agg(F.count(F.lit(1)).alias("c"))
-    groups = sizes.groupBy("group").agg(
+    groups = written(sizes.groupBy("group").agg(
         F.max(F.struct("c", "comp"))["comp"].alias("major"), F.sum("c").alias("members"), F.max("c").alias("most"),
-    ).where("members > most")
-    joined = members.join(groups.select(
-        "group", "major", F.ceil(F.col("members") / BLOCK).cast("int").alias("mb"),
-        F.ceil((F.col("members") - F.col("most")) / BLOCK).cast("int").alias("sb")), "group")
+    ).where("members > most").select(
+        "group", "major", "members", F.ceil(F.col("members") / BLOCK).cast("int").alias("mb"),
+        F.ceil((F.col("members") - F.col("most")) / BLOCK).cast("int").alias("sb"),
+        (F.col("members") * (F.col("members") - F.col("most"))).alias("pairs")))
+    work = groups.agg(F.sum("pairs"), F.sum(F.col("mb") * F.col("sb").cast("long"))).first()
+    tasks = max(1, min(-(-(work[0] or 0) // PAIRS), work[1] or 0))
+    joined = join_spread(members, groups.drop("pairs"), ["group"], "members", F.col("node"))
 
     def places(k: str, stray: bool, at) -> Column:
         return F.transform(F.sequence(F.lit(0), F.col(k) - 1), lambda i: F.struct(F.lit(stray).alias("stray"), *at(i)))
@@ -240,7 +246,16 @@ def dealt_out(members: DataFrame) -> DataFrame:
     return joined.select(
         "group", "node", "comp",
         F.explode(F.when(F.col("comp") == F.col("major"), as_member).otherwise(F.concat(as_member, as_stray))).alias("at"),
-    ).select("group", "node", "comp", "at.*")
+    ).select("group", "node", "comp", "at.*"), tasks
+
+
+def compared(members: DataFrame, values: DataFrame, compare: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
+    """Distinct pairs (a, b) that ``compare`` finds in each block of strays and
+    members with their ``values``, tasks taking blocks by number of pairs."""
+    node = dict(members.dtypes)["node"]
+    rows, tasks = dealt_out(members)
+    return (rows.join(values, "node").repartition(tasks, "group", "m", "s").groupBy("group", "m", "s")
+            .applyInPandas(compare, f"a {node}, b {node}").distinct())
 
 
 def links_inside(members: DataFrame, sets: DataFrame, share: float) -> DataFrame:
@@ -249,7 +264,7 @@ def links_inside(members: DataFrame, sets: DataFrame, share: float) -> DataFrame
     ``members``: group, node, comp; ``sets``: node, set. A task counts common shingles of its
     strays with all its members through an index of the members' shingles.
     """
-    node, least = dict(members.dtypes)["node"], round(share * 100)
+    least = round(share * 100)
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         ids, comp, stray = pdf["node"].to_numpy(), pdf["comp"].to_numpy(), pdf["stray"].to_numpy(bool)
@@ -271,14 +286,13 @@ def links_inside(members: DataFrame, sets: DataFrame, share: float) -> DataFrame
                     out.append(pd.DataFrame({"a": np.maximum(ids[j], ids[i]), "b": np.minimum(ids[j], ids[i])}))
         return pd.concat(out)
 
-    return dealt_out(members).join(sets, "node").groupBy("group", "m", "s").applyInPandas(compare, f"a {node}, b {node}").distinct()
+    return compared(members, sets, compare)
 
 
 def cross_pairs(members: DataFrame, sketches: DataFrame, share: float) -> DataFrame:
     """Likely pairs across the components of a group: ``members`` has group,
     node, comp, ``sketches`` node, n, regs. Pairs form inside a task as arrays and leave it only
     if the sketches allow the similarity."""
-    node = dict(members.dtypes)["node"]
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         regs = np.frombuffer(b"".join(pdf["regs"]), np.uint16).reshape(len(pdf), -1)
@@ -294,7 +308,7 @@ def cross_pairs(members: DataFrame, sketches: DataFrame, share: float) -> DataFr
                 out.append(pd.DataFrame({"a": np.maximum(ids[j], ids[i]), "b": np.minimum(ids[j], ids[i])}))
         return pd.concat(out)
 
-    return dealt_out(members).join(sketches, "node").groupBy("group", "m", "s").applyInPandas(compare, f"a {node}, b {node}").distinct()
+    return compared(members, sketches, compare)
 
 
 def near_labels(edges: DataFrame) -> DataFrame:
@@ -325,7 +339,8 @@ def near_duplicates(
 
     Returns the input columns plus ``n_shingles``, ``component_id`` (the
     smallest id reachable over links, its own included) and ``kept``
-    (``component_id`` equals the id). Columns of these names are replaced.
+    (``component_id`` equals the id). Columns of these names, in any case, are
+    replaced.
 
     Defined cases: NULL texts and texts without words have an empty set and
     are linked with nothing; a row with a NULL id links nothing, its
@@ -347,33 +362,39 @@ def near_duplicates(
     base = docs.select(row_struct(docs, *added).alias("row"), col(id_col).alias("id"), F.xxhash64(col(text_col)).alias("th"),
                        col(text_col).alias("text"))
     texts = base.select("id", "th", "text")
-    signed = materialized(A.per_text(texts, ["id", "th"], "text", signatures(shingle), SIGNATURE))
-    nodes = materialized(
+    signed = written(A.per_text(texts, ["id", "th"], "text", signatures(shingle), SIGNATURE))
+    nodes = written(
         signed.where("n > 0 and id is not null").groupBy("s1", "s2")
         .agg(F.min(F.struct("id", "th")).alias("least"), F.first("n").alias("n"), F.first("regs").alias("regs"))
         .select(F.monotonically_increasing_id().alias("node"), "least.id", "least.th", "s1", "s2", "n", "regs"))
     banded = in_bands(nodes)
-    shared = banded.groupBy("bucket").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    in_bucket = materialized(banded.join(shared, "bucket"))
+    shared = written(
+        banded.groupBy("bucket").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("size")).where("size > 1"))
+    in_bucket = written(join_spread(banded, shared, ["bucket"], "size", F.col("node")))
 
     lean = nodes.select("node", "n", "regs")
     stars = in_bucket.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
-    tested = materialized(likely_pairs(stars, lean, share))
-    groups = materialized(connected_components(tested))
+    tested = written(likely_pairs(stars, lean, share))
+    groups = connected_components(tested)
     # What stars leave apart: pairs of a bucket that lie in different groups of likely
     # pairs. (A bucket of two holds no other pair than the one that is tested.)
-    left = (in_bucket.where("size > 2 and node <> rep").select(F.col("bucket").alias("group"), "node").join(groups, "node", "left")
+    left = written(in_bucket.where("size > 2 and node <> rep").select(F.col("bucket").alias("group"), "node").join(groups, "node", "left")
             .select("group", "node", F.coalesce("root", "node").alias("comp")))
+    forget(in_bucket, shared)
     between = cross_pairs(left, lean, share).join(tested, ["a", "b"], "left_anti")
-    pairs = materialized(tested.union(between))
+    pairs = written(tested.union(between))
+    forget(left, tested)
     sets = full_sets(
         pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), nodes, texts, shingle)
-    links = materialized(verified(pairs, sets, share))
+    links = written(verified(pairs, sets, share))
+    forget(pairs)
     # And pairs inside such a group: each node is in one, so its full set is there to decide.
-    apart = groups.join(near_labels(links).withColumnRenamed("label", "own"), "node", "left").select(
-        F.col("root").alias("group"), "node", F.coalesce("own", "node").alias("comp"))
-    inside = links_inside(apart, sets, share)
-    roots = connected_components(materialized(links.union(inside)))
+    apart = written(groups.join(near_labels(links).withColumnRenamed("label", "own"), "node", "left").select(
+        F.col("root").alias("group"), "node", F.coalesce("own", "node").alias("comp")))
+    linked = written(links.union(links_inside(apart, sets, share)))
+    forget(groups, apart, sets, links)
+    roots = connected_components(linked)
+    forget(linked)
 
     least = roots.join(nodes.select("node", "id"), "node").groupBy("root").agg(F.min("id").alias("least"))
     labels = nodes.join(roots.join(least, "root"), "node", "left").select(
@@ -384,7 +405,7 @@ def near_duplicates(
         .select(F.col("id").alias("i"), F.col("th").alias("t"), F.col("n").alias("n_shingles"),
                 F.when(F.col("id").isNotNull(), F.coalesce("root", "id")).alias("component_id"))
     )
-    kept = [c for c in docs.columns if c not in added]
+    kept = others(docs, *added)
     return (
         base.select("row", "id", "th")
         .join(result, F.col("id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("t")), "left")

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acctsentry.llm.common import col, let, row_struct
+from acctsentry.llm.common import col, let, others, row_struct
 
 
 @dataclass(frozen=True)
@@ -180,7 +180,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         spans(F.col("text"), r, i) if i in scan_all
         else F.when(F.array_contains("rules", i), spans(F.col("text"), r, i)).otherwise(none)
         for i, r in enumerate(rules)]
-    kept = [c for c in docs.columns if c != "secrets"]
+    kept = others(docs, "secrets")
     return base.select(*[F.col("row")[c].alias(c) for c in kept], F.array_sort(F.concat(*parts)).alias("secrets"))
 
 

@@ -22,7 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from acctsentry.llm import arrays as A
 from acctsentry.llm import piece_scan as S
-from acctsentry.llm.common import col, materialized, row_struct
+from acctsentry.llm.common import col, materialized, others, row_struct
 from acctsentry.llm.piece_table import pieces
 
 #: Characters from which on a text is split, and those of a chunk.
@@ -140,7 +140,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     busy; what is gathered by text are its matrices (a few hundred bytes a
     chunk) and, in the end, its own pieces.
     """
-    src = docs.drop("pieces") if "pieces" in docs.columns else docs
+    src = docs.select(*[col(c) for c in others(docs, "pieces")])
     result = T.StructType([T.StructField("pieces", T.ArrayType(T.IntegerType()))])
     length = F.coalesce(F.char_length(col(text_col)), F.lit(0))
 
@@ -181,7 +181,7 @@ def decode(encoded: DataFrame, model: str, pieces_col: str = "pieces", to: str =
     that are no UTF-8 become U+FFFD; begin and end marks vanish; a number
     outside the model raises ``ValueError`` in the task. No shuffle.
     """
-    kept = [c for c in encoded.columns if c != to]
+    kept = others(encoded, to)
     src = encoded.select(*[col(c).alias(f"k{i}") for i, c in enumerate(kept)])
     schema = T.StructType([T.StructField(c, encoded.schema[c].dataType) for c in kept] + [T.StructField(to, T.StringType())])
     arrow, at = to_arrow_schema(schema), kept.index(pieces_col)

@@ -238,7 +238,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     The draw's rate comes from the class's size, so what reaches the driver
     stays the same however many labels there are. Texts over ``SAMPLE_BYTES``
     are not fitted on. An id that is labelled twice counts as toxic if one
-    label says so.
+    label says so; one with several texts gives one of them, the same in each run.
     """
     known = (labels.select(col(id_col).alias("id"), col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
              .groupBy("id").agg(F.max("y").alias("y")))
@@ -248,7 +248,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     drawn = known.where(unit < rate)
     texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES)
     # Twice SAMPLE rows in expectation, whatever the table's size.
-    return texts.join(F.broadcast(drawn), "id").dropDuplicates(["id"])
+    # Of an id's texts the one with the least hash is taken, so that each run fits on the same.
+    return texts.join(F.broadcast(drawn), "id").groupBy("id").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.max("y").alias("y"))
 
 
 def train(

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from acctsentry.llm.common import col, materialized
+from acctsentry.operators.skew import join_spread
 from acctsentry.session import scratch_path
 
 #: Magic numbers of the format (fixed values).
@@ -214,16 +215,17 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
 
     Scale: the owner of each digest comes from a partial aggregate, and the
     owners' table has one row per large payload that occurs twice or more.
-    Payloads move once, to meet it by digest (AQE splits a hot one), and not
-    at all where AQE finds the table small enough to broadcast.
+    Payloads move once, to meet it by digest (``join_spread`` deals a hot one
+    over many tasks), and not at all where AQE finds the table small enough to
+    broadcast.
     """
     base = pages.select(
         col(id_col).cast("long").alias("page"), col(url_col).cast("string").alias("url"),
         F.encode(F.coalesce(col(html_col), F.lit("")), "UTF-8").alias("payload")).withColumn("digest", F.sha1("payload"))
-    owners = (
+    owners = materialized(
         base.where(F.octet_length("payload") >= REVISIT_BYTES).groupBy("digest")
-        .agg(F.max("page").alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "owner"))
-    known = base.join(owners, "digest", "left").select(
+        .agg(F.max("page").alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "owner", "n"))
+    known = join_spread(base, owners, ["digest"], "n", F.col("page"), "left").select(
         "page", "url", "payload", "digest",
         F.when(F.col("owner").isNotNull() & ~F.col("page").eqNullSafe(F.col("owner")), F.col("owner")).alias("original"))
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from acctsentry.llm.common import col, materialized
+from acctsentry.llm.common import col, materialized, others
 from acctsentry.llm.qd_svd import right_singular
 
 SCALE, SHIFT = 1024, 100_000
@@ -219,7 +219,8 @@ def whiten(df: DataFrame, model: Whitening | None, vec_col: str = "embedding", k
     each, and the driver sees the last one alone. No shuffle of rows.
     """
     added = ["component", "n", "deviation", "whitened", "explained"]
-    keep = [c for c in ([c for c in df.columns if c != vec_col] if keep is None else keep) if c.lower() not in added]
+    free = others(df, *added)
+    keep = [c for c in free if c != vec_col] if keep is None else [c for c in keep if c in free]
     kinds = {f.name: f.dataType for f in df.schema.fields}
     schema = T.StructType([T.StructField(c, kinds[c]) for c in keep] + [
         T.StructField("component", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("deviation", T.LongType()),
