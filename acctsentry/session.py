@@ -17,6 +17,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Shuffle files go when the query that wrote them has ended: what is read again is
+    # checkpointed, and jobs of many small steps would else hold all their shuffles at once.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # Rows may be long texts: a batch is bounded by bytes before it is by rows.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
