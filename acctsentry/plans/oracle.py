@@ -367,11 +367,14 @@ def live_cte() -> str:
     arrived before it (pairs of rows of one account)."""
     return """
 WITH src AS (""" + TXN_EVENTS + """),
-r AS (SELECT min(CreateDate) AS lo, greatest(1, CAST(floor(epoch(max(CreateDate) - min(CreateDate))) AS BIGINT) // 3 + 1) AS w FROM src),
+n AS (SELECT greatest(4, CAST(ceil(count(*) / 1000000) AS BIGINT)) AS batches FROM src),
+r AS (
+  SELECT min(CreateDate) AS lo, any_value(batches) - 1 AS top,
+         greatest(1, CAST(floor(epoch(max(CreateDate) - min(CreateDate))) AS BIGINT) // (any_value(batches) - 1) + 1) AS w FROM src, n),
 b AS (
   SELECT seq, CustomerId, FromAccountNo, TransferType AS typ, epoch_us(CreateDate) AS us, COALESCE(AmountInAed, 0.0) AS amt,
          date_trunc('month', CreateDate) AS mon, Status IN ('Approved', 'Force Approved') AS ap,
-         least(CAST(floor(epoch(CreateDate - lo) / w) AS BIGINT) + (seq % 5 = 0)::INT, 3) AS arr
+         least(CAST(floor(epoch(CreateDate - lo) / w) AS BIGINT) + (seq % 5 = 0)::INT, top) AS arr
   FROM src, r),
 lv AS (
   SELECT x.seq, x.CustomerId, x.FromAccountNo, x.typ, x.us, x.amt, x.mon,
@@ -530,7 +533,7 @@ SELECT seq, CAST(c10 AS BIGINT) AS live_txn_count_10min, CAST(c1h AS BIGINT) AS
   round(COALESCE((us - last) / 1000000.0, 3600.0), 6) AS live_time_since_last,
   CAST(sc AS BIGINT) AS session_count, round(spent, 6) AS session_month_spending
 FROM lv"""
-    q["live_decisions"] = live + """,
+    decided = live + """,
 pr AS (
   SELECT CustomerId, FromAccountNo, avg(AmountInAed) AS a, count(*) AS n, stddev_samp(AmountInAed) AS sd
   FROM src WHERE seq % 2 = 0 GROUP BY CustomerId, FromAccountNo),
@@ -545,8 +548,44 @@ th AS (
   SELECT j.*, greatest(a + CASE typ WHEN 'S' THEN 2.0 WHEN 'Q' THEN 2.5 WHEN 'L' THEN 3.0 WHEN 'I' THEN 3.5 WHEN 'O' THEN 4.0 ELSE 3.0 END * sd,
                        CASE typ WHEN 'S' THEN 5000.0 WHEN 'Q' THEN 3000.0 WHEN 'L' THEN 2000.0 WHEN 'I' THEN 1500.0 WHEN 'O' THEN 1000.0 ELSE 2000.0 END) AS threshold
   FROM j),
-n AS (SELECT th.*, (c10 > 5)::INT + (c1h > 15)::INT + (cms + amt > threshold)::INT AS k FROM th)
-SELECT seq, k > 0 AS is_fraud, CAST(k AS BIGINT) AS n_reasons, round(threshold, 6) AS threshold, round(cms, 6) AS current_month_spending FROM n"""
+dec AS (SELECT th.*, (c10 > 5)::INT + (c1h > 15)::INT + (cms + amt > threshold)::INT AS k FROM th)
+"""
+    q["live_decisions"] = decided + """
+SELECT seq, k > 0 AS is_fraud, CAST(k AS BIGINT) AS n_reasons, round(threshold, 6) AS threshold, round(cms, 6) AS current_month_spending FROM dec"""
+    q["decision_log_stream"] = decided + """
+SELECT CAST(CustomerId AS BIGINT) AS "CustomerID", CAST(FromAccountNo AS VARCHAR) AS "FromAccountNo", round(amt, 6) AS "Amount",
+       typ AS "Type", CASE WHEN k > 0 THEN 'Rejected' ELSE 'Approved' END AS "Status", make_timestamp(us) AS "Timestamp" FROM dec"""
+    q["live_verdicts"] = live + """,
+e AS (  -- candidates with their verdicts: when each was given, and the batch in which it comes
+  SELECT seq, CustomerId, FromAccountNo, us, amt, mon, arr, seq % 11 > 0 AS has, us + (seq % 7) * 60000000 AS vus, st, ap,
+         date_trunc('month', make_timestamp(us + (seq % 7) * 60000000)) AS vmon,
+         least(CAST(floor((us + (seq % 7) * 60000000 - epoch_us(lo)) / 1000000 / w) AS BIGINT) + (seq % 4 = 0)::INT, top) AS varr
+  FROM b JOIN (SELECT seq, Status AS st FROM src) USING (seq), r),
+t AS (  -- settled by what comes later, the candidate or the verdict
+  SELECT *, CASE WHEN (varr, vus, 1) > (arr, us, 0) THEN varr ELSE arr END AS sarr, CASE WHEN (varr, vus, 1) > (arr, us, 0) THEN vus ELSE us END AS sus,
+         CASE WHEN (varr, vus, 1) > (arr, us, 0) THEN 1 ELSE 0 END AS skind
+  FROM e),
+x AS (
+  SELECT c.seq, c.us, c.amt,
+    count(y.seq) FILTER (WHERE y.vus <= c.us AND y.vus > c.us - 600000000) + 1 AS c10,
+    count(y.seq) FILTER (WHERE y.vus <= c.us AND y.vus > c.us - 3600000000) + 1 AS c1h,
+    max(y.vus) FILTER (WHERE y.vus <= c.us) AS last, count(y.seq) AS sc,
+    COALESCE(sum(y.amt) FILTER (WHERE y.vmon = c.mon), 0.0) AS spent
+  FROM t c LEFT JOIN t y ON c.CustomerId = y.CustomerId AND c.FromAccountNo = y.FromAccountNo AND y.has AND y.ap
+    AND (y.sarr, y.sus, y.skind, y.seq) < (c.arr, c.us, 0, c.seq)
+  GROUP BY ALL),
+m AS (SELECT greatest(max(us), max(vus) FILTER (WHERE has)) - (w + w // 4 + 600) * 1000000 AS mark, any_value(w) AS w FROM e, r GROUP BY w)
+SELECT seq, 'candidate' AS event, NULL AS "Status", make_timestamp(us) AS "CreateDate", round(amt, 6) AS transaction_amount,
+  CAST(c10 AS BIGINT) AS live_txn_count_10min, CAST(c1h AS BIGINT) AS live_txn_count_1hour,
+  round(COALESCE((us - last) / 1000000.0, 3600.0), 6) AS live_time_since_last, CAST(sc AS BIGINT) AS session_count,
+  round(spent, 6) AS session_month_spending
+FROM x
+UNION ALL SELECT seq, 'verdict', st, make_timestamp(vus), round(amt, 6), NULL, NULL, NULL, NULL, NULL FROM t WHERE has
+UNION ALL SELECT seq, 'verdict', 'Expired', make_timestamp(us + w * 1000000), round(amt, 6), NULL, NULL, NULL, NULL, NULL
+FROM t, m WHERE NOT has AND us + w * 1000000 < mark"""
+    q["live_resumed"] = "SELECT a.* FROM (" + approved + ") a JOIN (" + TXN_EVENTS + """) s USING (seq), (
+  SELECT min(CreateDate) + to_seconds(CAST(floor(epoch(max(CreateDate) - min(CreateDate)) / 2) AS BIGINT)) AS since FROM (""" + TXN_EVENTS + """)) c
+WHERE s.CreateDate >= c.since"""
     zero = ["prediction_is_not_sign", "risk_is_not_negated", "ml_flag_is_wrong", "ae_flag_is_wrong", "fraud_is_not_or_of_legs",
             "reasons_out_of_order", "ml_reason_is_missing", "loaded_scores_differ"]
     true = ["rate_is_near_contamination", "threshold_is_mean_plus_3_std", "config_is_complete", "ae_validates", "forest_rates_known"]

@@ -387,27 +387,53 @@ def q_approved_velocity(spark, sf):
     )
 
 
-#: Files that the live replay is written in: a fifth of the rows comes one file late.
-LIVE_FILES = 4
+#: Batches that the live replay comes in at least (a fifth of the rows comes one late), and rows of one.
+LIVE_BATCHES, LIVE_BATCH_ROWS = 4, 1_000_000
 
 
-def _live_replay(spark, sf) -> DataFrame:
-    """The events table replayed in files that are out of order inside the watermark."""
+def _live_slices(txn: DataFrame):
+    """The number of time slices, their width in seconds, and the slice in which a row arrives."""
+    early, late, n = txn.agg(F.min(S.CREATED), F.max(S.CREATED), F.count(F.lit(1))).first()
+    batches = max(LIVE_BATCHES, -(-n // LIVE_BATCH_ROWS))
+    if early is None:
+        return batches, 1, lambda at, late: F.lit(0)
+    width = max(1, int((late - early).total_seconds()) // (batches - 1) + 1)
+
+    def arrives(at: F.Column, late: F.Column) -> F.Column:
+        own = F.floor((F.unix_seconds(at) - F.unix_seconds(F.lit(early))) / width)
+        return F.least(own + late.cast("int"), F.lit(batches - 1))
+
+    return batches, width, arrives
+
+
+def _replayed(spark, rows: DataFrame, batches: int, run) -> str:
+    """``rows`` (column ``_batch``) written slice by slice, each in as many
+    files as it has tasks; ``run(stream, root)`` takes what has come so far as
+    one batch, and goes on from its checkpoint with the next. Rows dropped
+    behind the watermark are an error."""
     from acctsentry.session import scratch_path
     from acctsentry.streaming import live as L
 
     root = scratch_path(spark, "live")
+    whole = rows.checkpoint(eager=True)
+    plain = whole.drop("_batch")
+    for k in range(batches):
+        whole.where(F.col("_batch") == k).drop("_batch").write.parquet(f"{root}/in/{k}")
+        dropped = run(L.transfers_stream(spark, f"{root}/in", plain.schema, files=None), root)
+        if dropped:
+            raise ValueError(f"{dropped} rows came behind the watermark")
+    return root
+
+
+def _live_replay(spark, sf) -> DataFrame:
+    """The events table replayed in slices that are out of order inside the watermark."""
+    from acctsentry.streaming import live as L
+
     txn = _events(spark, sf)
-    early, late = txn.agg(F.min(S.CREATED), F.max(S.CREATED)).first()
-    width = max(1, int((late - early).total_seconds()) // (LIVE_FILES - 1) + 1)
-    own = F.floor((F.unix_seconds(S.CREATED) - F.unix_seconds(F.lit(early))) / width)
-    file = F.least(own + (F.col(S.SEQ) % 5 == 0).cast("int"), F.lit(LIVE_FILES - 1))
-    for k in range(LIVE_FILES):  # one after the other: a file's age is its place
-        txn.where(file == k).coalesce(1).write.parquet(f"{root}/in/{k}")
-    stream = L.transfers_stream(spark, f"{root}/in", txn.schema)
-    dropped = L.run_to_sink(L.live_state_stream(stream, f"{2 * width} seconds"), f"{root}/out", f"{root}/ckpt")
-    if dropped:
-        raise ValueError(f"{dropped} rows came behind the watermark")
+    batches, width, arrives = _live_slices(txn)
+    rows = txn.withColumn("_batch", arrives(F.col(S.CREATED), F.col(S.SEQ) % 5 == 0))
+    root = _replayed(spark, rows, batches, lambda stream, root: L.run_to_sink(
+        L.live_state_stream(stream, f"{2 * width} seconds"), f"{root}/out", f"{root}/ckpt"))
     return spark.read.schema(L.LIVE_SCHEMA).parquet(f"{root}/out")  # late ones included, flagged
 
 
@@ -420,14 +446,84 @@ def q_live_stream(spark, sf):
     )
 
 
+def _decided_stream(spark, sf) -> DataFrame:
+    """The replay decided inside the stream, with the profile and the
+    months of the table's first half as versioned tables that each batch reads."""
+    from acctsentry.session import scratch_path
+    from acctsentry.sources.commits import read_table, replace_table
+    from acctsentry.streaming import live as L
+
+    txn = _events(spark, sf)
+    stored = txn.where(F.col(S.SEQ) % 2 == 0)
+    tables = scratch_path(spark, "live-tables")
+    replace_table(PR.account_profile(stored), f"{tables}/profile")
+    replace_table(PR.month_totals(stored), f"{tables}/months")
+    batches, width, arrives = _live_slices(txn)
+    rows = txn.withColumn("_batch", arrives(F.col(S.CREATED), F.col(S.SEQ) % 5 == 0))
+    root = _replayed(spark, rows, batches, lambda stream, root: L.decisions_to_log(
+        L.live_state_stream(stream, f"{2 * width} seconds"), f"{root}/log", f"{root}/ckpt",
+        lambda: read_table(spark, f"{tables}/profile"), lambda: read_table(spark, f"{tables}/months")))
+    return L.read_decided(spark, f"{root}/log")
+
+
 def q_live_decisions(spark, sf):
-    """Live rows decided with the profile and the stored month of the table's first half."""
+    """Decisions made in the stream."""
+    return _decided_stream(spark, sf).select(
+        S.SEQ, "is_fraud", F.size("reasons").cast("long").alias("n_reasons"), r6("threshold"), r6("current_month_spending"))
+
+
+def q_decision_log_stream(spark, sf):
+    """The log that the stream has committed."""
+    from acctsentry.streaming.live import log_rows
+
+    return log_rows(_decided_stream(spark, sf)).select(
+        "CustomerID", "FromAccountNo", r6("Amount"), "Type", "Status", F.col("Timestamp").cast("timestamp_ntz").alias("Timestamp"))
+
+
+def q_live_verdicts(spark, sf):
+    """T5: candidates and their verdicts as two streams. Verdicts come up to
+    six minutes after their candidate, a quarter of them one slice late (the
+    candidate may be late too, and then comes after its verdict), and every
+    11th never; what waits a slice's width long is given up."""
     from acctsentry.streaming import live as L
 
-    stored = _events(spark, sf).where(F.col(S.SEQ) % 2 == 0)
-    out = L.live_decisions(_live_replay(spark, sf), PR.account_profile(stored), PR.month_totals(stored))
+    txn = _events(spark, sf)
+    batches, width, arrives = _live_slices(txn)
+    given = F.expr(f"{S.CREATED} + make_interval(0, 0, 0, 0, 0, {S.SEQ} % 7, 0)")
+    own = txn.withColumns({"event": F.lit("candidate"), "_batch": arrives(F.col(S.CREATED), F.col(S.SEQ) % 5 == 0)})
+    verdicts = txn.where(F.col(S.SEQ) % 11 > 0).withColumns(
+        {"event": F.lit("verdict"), S.CREATED: given, "_batch": arrives(given, F.col(S.SEQ) % 4 == 0)})
+
+    def run(stream, root):
+        return L.run_to_sink(L.verdict_stream(
+            stream.where("event = 'candidate'"), stream.where("event = 'verdict'"), f"{width + width // 4 + 600} seconds", width),
+            f"{root}/out", f"{root}/ckpt")
+
+    root = _replayed(spark, own.unionByName(verdicts), batches, run)
+    out = spark.read.schema(L.EVENT_SCHEMA).parquet(f"{root}/out").where("not late")
     return out.select(
-        S.SEQ, "is_fraud", F.size("reasons").cast("long").alias("n_reasons"), r6("threshold"), r6("current_month_spending"))
+        S.SEQ, "event", "Status", F.col(S.CREATED).cast("timestamp_ntz").alias(S.CREATED), r6("transaction_amount"),
+        "live_txn_count_10min", "live_txn_count_1hour", r6("live_time_since_last"), "session_count", r6("session_month_spending"))
+
+
+def q_live_resumed(spark, sf):
+    """A stream over the later half of the time that begins with
+    the state which the earlier half leaves; its rows are those of a stream
+    over all."""
+    from acctsentry.streaming import live as L
+
+    txn = _events(spark, sf)
+    early, late = txn.agg(F.min(S.CREATED), F.max(S.CREATED)).first()
+    if early is None:
+        return L.approved_velocity(txn).select(
+            S.SEQ, "live_txn_count_10min", "live_txn_count_1hour", r6("live_time_since_last"), "session_count", r6("session_month_spending"))
+    since = (early + (late - early) / 2).replace(microsecond=0)
+    history = L.history_state(txn.where(F.col(S.CREATED) < F.lit(since)), str(since)).checkpoint(eager=True)
+    later = txn.where(F.col(S.CREATED) >= F.lit(since)).withColumn("_batch", F.lit(0))
+    root = _replayed(spark, later, 1, lambda stream, root: L.run_to_sink(
+        L.live_state_stream(stream, "1 hour", history), f"{root}/out", f"{root}/ckpt"))
+    return L.judged(spark.read.schema(L.LIVE_SCHEMA).parquet(f"{root}/out")).select(
+        S.SEQ, "live_txn_count_10min", "live_txn_count_1hour", r6("live_time_since_last"), "session_count", r6("session_month_spending"))
 
 
 def q_decision_log(spark, sf):
@@ -518,4 +614,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_checks": q_model_checks,
     "missing_features": q_missing_features,
     "live_decisions": q_live_decisions,
+    "decision_log_stream": q_decision_log_stream,
+    "live_verdicts": q_live_verdicts,
+    "live_resumed": q_live_resumed,
 }
