@@ -13,10 +13,12 @@ Plan, and why it is shaped this way for very large inputs:
   beneficiary window.  Each chunk also receives a narrow *halo*: the rows of
   the previous chunk that fall inside the longest look-back, so range frames
   stay exact.  Row-count frames (previous row, last five rows) take the rows
-  before a chunk from a small per-chunk tail table.
+  before a chunk from a small per-chunk tail table.  A day on which an account
+  has very many rows is cut into its hours, each of them a chunk.
 * The row table is shuffled twice: by (account, beneficiary, chunk) and by
-  (account, day).  The (account, day) statistics are joined inside the second
-  shuffle (same keys), so they add no exchange of the rows.
+  (account, chunk).  The (account, chunk) statistics are joined inside the second
+  shuffle (same keys), so they add no exchange of the rows.  Channel codes are
+  counted first and broadcast, or joined with hot channels spread.
 """
 
 from __future__ import annotations
@@ -27,11 +29,19 @@ from pyspark.sql import types as T
 
 from acctsentry import schema as S
 from acctsentry.functions import scalar as X
+from acctsentry.operators.skew import join_spread, prefix_sums
+from acctsentry.session import checkpoint_root
 
 SENTINEL_CHUNK = 2**31 - 1
 BENE_CHUNK_DAYS = 180
 BENE_CHUNK_US = BENE_CHUNK_DAYS * X.DAY_US
 US_SORT_NULL = 2**62  # NULL times sort after every real time
+HOUR_US = X.DAY_US // 24
+#: Rows of an account from which a day is cut into hours, but for the part of all rows that
+#: bounds the number of such days (their list is broadcast).
+HOT_DAY_ROWS, HOT_DAYS = 20_000, 100_000
+#: Channels that are broadcast at most.
+CODES_BROADCAST = 100_000
 
 K = list(S.ACCOUNT_KEY)
 KN = ["_k0", "_k1", "_k2", "_k3"]  # null-safe account key (value, is-null) x 2
@@ -66,15 +76,25 @@ def channel_codes(conformed: DataFrame) -> DataFrame:
     firsts = (
         conformed.where(F.col(S.CHANNEL).isNotNull())
         .groupBy(S.CHANNEL)
-        .agg(F.min(S.SEQ).alias("_first"))
+        .agg(F.min(S.SEQ).alias("_first"), F.count(F.lit(1)).alias("_rows"))
         .withColumn("_span", F.floor(F.col("_first") / F.lit(CODE_SPAN)))
     )
-    before = Window.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    spans = firsts.groupBy("_span").agg(F.count(F.lit(1)).alias("_n")).select(
-        "_span", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    spans = prefix_sums(firsts.groupBy("_span").agg(F.count(F.lit(1)).alias("_n")), ["_span"], "_n", "_before").select("_span", "_before")
     inside = F.row_number().over(Window.partitionBy("_span").orderBy("_first", S.CHANNEL))
     return firsts.join(spans, "_span").select(
-        S.CHANNEL, (F.col("_before") + inside - 1).cast("int").alias("channel_encoded"))
+        S.CHANNEL, (F.col("_before") + inside - 1).cast("int").alias("channel_encoded"), "_rows")
+
+
+def with_channel_codes(df: DataFrame) -> DataFrame:
+    """P8 on every row. The codes are written first: a few are broadcast; more
+    than ``CODES_BROADCAST`` are joined with the rows of hot channels spread."""
+    checkpoint_root(df.sparkSession)
+    codes = channel_codes(df).checkpoint(eager=True)
+    if codes.count() <= CODES_BROADCAST:
+        coded = df.join(F.broadcast(codes.drop("_rows")), S.CHANNEL, "left")
+    else:
+        coded = join_spread(df, codes, [S.CHANNEL], "_rows", F.col(S.SEQ), "left").drop("_rows")
+    return coded.withColumn("channel_encoded", F.coalesce("channel_encoded", F.lit(0)))
 
 
 def prepare(raw: DataFrame) -> DataFrame:
@@ -96,8 +116,7 @@ def prepare(raw: DataFrame) -> DataFrame:
         X.is_night(hour).alias("is_night"),
         X.event_micros(ts).alias("_us"),
     )
-    df = df.join(channel_codes(df), S.CHANNEL, "left").withColumn(
-        "channel_encoded", F.coalesce("channel_encoded", F.lit(0)))
+    df = with_channel_codes(df)
     df = df.withColumn("_us_sort", F.coalesce(F.col("_us"), F.lit(US_SORT_NULL)))
     df = _null_safe(df, S.CUSTOMER, "_k0", "_k1")
     df = _null_safe(df, S.ACCOUNT, "_k2", "_k3")
@@ -163,7 +182,7 @@ def customer_stats(p: DataFrame) -> DataFrame:
     return per_cust.select(
         S.CUSTOMER,
         F.col("num_accounts").cast("long").alias("num_accounts"),
-        ratio.alias("cross_account_transfer_ratio"),
+        ratio.alias("cross_account_transfer_ratio"), "_n_c",
     )
 
 
@@ -216,46 +235,64 @@ def _chunk(us: Column, width_us: int) -> Column:
     )
 
 
+def with_chunks(keyed: DataFrame) -> DataFrame:
+    """Adds ``_d``, the row's day, and ``_c``, its chunk: 24 times the day, plus
+    the hour on days on which the account has very many rows."""
+    day = _chunk(F.col("_us"), X.DAY_US)
+    dated = keyed.where(F.col("_us").isNotNull())
+    counts = dated.groupBy(*KN, day.alias("_d")).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    hot = counts.where(F.col("_n") > max(HOT_DAY_ROWS, total // HOT_DAYS)).select(*KN, "_d", F.lit(True).alias("_hot"))
+    rows = keyed.withColumn("_d", day)
+    if hot.isEmpty():
+        rows = rows.withColumn("_hot", F.lit(False))
+    else:  # fewer than HOT_DAYS rows
+        rows = rows.join(F.broadcast(hot), [*KN, "_d"], "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+    hour = F.floor((F.col("_us") - F.col("_d") * F.lit(X.DAY_US)) / F.lit(HOUR_US)).cast("long")
+    return rows.withColumn("_c", F.col("_d") * 24 + F.when(F.col("_hot"), hour).otherwise(F.lit(0).cast("long")))
+
+
 def chunk_tails(p: DataFrame) -> DataFrame:
-    """One row per (account, day chunk) with the rows just before the chunk:
-    the last four amounts and the previous time, for the row-count frames.
+    """One row per (account, chunk) with the rows just before the chunk: the
+    last four amounts and the previous time, for the row-count frames, and the
+    amounts of the day before it.
 
-    Built from a narrow projection shuffled by (account, day): the first row
+    Built from a narrow projection shuffled by (account, chunk): the first row
     and the last four rows of every chunk form a small table in which the four
     rows before a chunk's first row are the four rows before the chunk.  That
-    table is windowed per account; it holds at most five rows per day, so even
+    table is windowed per account; it holds at most five rows per chunk, so even
     a hot account is small there.
     """
-    narrow = p.select(
-        *K, *KN, "_us", "_us_sort", S.SEQ, S.CREATED, "transaction_amount",
-        _chunk(F.col("_us"), X.DAY_US).alias("_t"),
-    )
+    narrow = p.select(*K, *KN, "_us", "_us_sort", S.SEQ, S.CREATED, "transaction_amount", "_d", F.col("_c").alias("_t"))
     part = Window.partitionBy(*KN, "_t")
     narrow = narrow.select(
         "*",
         F.row_number().over(part.orderBy("_us_sort", S.SEQ)).alias("_rn"),
         F.count(F.lit(1)).over(part).alias("_n"),
+        F.sum("transaction_amount").over(part).alias("_chunk_amt"),
     )
     tail = narrow.where((F.col("_n") - F.col("_rn") < 4) | (F.col("_rn") == 1))
     by_key = Window.partitionBy(*KN).orderBy("_us_sort", S.SEQ)
     lag_amt = [F.lag("transaction_amount", i).over(by_key) for i in (4, 3, 2, 1)]
+    earlier = Window.partitionBy(*KN, "_d").orderBy("_t").rowsBetween(Window.unboundedPreceding, -1)
     return tail.select(
-        *K, *KN, "_t", "_rn",
+        *K, *KN, "_d", "_t", "_rn", "_chunk_amt",
         F.array_compact(F.array(*lag_amt)).alias("_carry_amts"),
         F.lag("_us", 1).over(by_key).alias("_carry_us"),
         F.lag(S.CREATED, 1).over(by_key).alias("_carry_ts"),
-    ).where(F.col("_rn") == 1).drop("_rn")
+    ).where(F.col("_rn") == 1).withColumn(
+        "_carry_day", F.coalesce(F.sum("_chunk_amt").over(earlier), F.lit(0.0))).drop("_rn", "_chunk_amt")
 
 
-def group_table(keyed: DataFrame, p: DataFrame) -> DataFrame:
-    """Every (account, day chunk) of the keyed rows, with its carry and all
-    group statistics; joined to the rows inside the velocity pass."""
+def group_table(keyed: DataFrame, p: DataFrame, customers: DataFrame) -> DataFrame:
+    """Every (account, chunk) of the keyed rows, with its carry and all group
+    statistics; joined to the rows inside the velocity pass."""
     return (
         chunk_tails(keyed)
         .join(account_stats(p), K, "left")
-        .join(customer_stats(p), S.CUSTOMER, "left")
-        .join(calendar_tables(p), [*K, "_t"], "left")
-        .drop(*K)
+        .join(customers.drop("_n_c"), S.CUSTOMER, "left")
+        .join(calendar_tables(p).withColumnRenamed("_t", "_d"), [*K, "_d"], "left")
+        .drop(*K, "_d")
     )
 
 
@@ -333,10 +370,14 @@ def beneficiary_pass(p: DataFrame) -> DataFrame:
 
 
 def velocity_pass(p: DataFrame, groups: DataFrame) -> DataFrame:
-    """W3-W8, P18, P21 and bucket/account statistics on (account, day)
-    partitions; one exchange and one sort of the rows."""
+    """W3-W8, P18, P21 and bucket/account statistics on (account, chunk)
+    partitions (``with_chunks``); one exchange and one sort of the rows. The
+    halo of a chunk is the hour before it."""
     narrow = [*KN, "_us", "_us_sort", S.SEQ]
-    rows = _with_halo(p, X.DAY_US, S.WINDOW_1HOUR * X.MICROS, narrow)
+    halo = p.where(F.col("_us").isNotNull() & (
+        F.col("_hot") | (F.col("_us") >= (F.col("_d") + 1) * F.lit(X.DAY_US) - F.lit(HOUR_US)))).select(
+        *narrow, F.when(F.col("_hot"), F.col("_c") + 1).otherwise((F.col("_d") + 1) * 24).alias("_t"), F.lit(True).alias("_halo"))
+    rows = p.drop("_d", "_hot").withColumnRenamed("_c", "_t").withColumn("_halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
     keys = [*KN, "_t"]
     _, by_row = _orders(keys)
     ties = _later_ties(keys)
@@ -401,7 +442,7 @@ def _finish(v: DataFrame, out_cols: list[str]) -> DataFrame:
         "monthly_deviation": F.abs(amt - F.col("monthly_avg_amount")),
         "amount_vs_monthly_avg": X.safe_ratio(amt, F.col("monthly_avg_amount")),
         "month_spending_before": F.when(key_null | ts_null, F.lit(None)).otherwise(
-            F.col("_month_before_day") + F.col("_day_before")
+            F.col("_month_before_day") + F.col("_carry_day") + F.col("_day_before")
         ),
     }
     v = v.withColumns(feats)
@@ -423,8 +464,10 @@ def feature_table(raw: DataFrame) -> DataFrame:
     # Rows without an account key have constants where others have an order; they don't
     # meet in one task, but pass by and take their customer's statistics.
     keyed = p.where(_key_not_null())
-    v = velocity_pass(beneficiary_pass(keyed), group_table(keyed, p))
-    loose = p.where(~_key_not_null()).join(customer_stats(p), S.CUSTOMER, "left")
+    customers = customer_stats(p).checkpoint(eager=True)
+    keyed = with_chunks(keyed)
+    v = velocity_pass(beneficiary_pass(keyed), group_table(keyed, p, customers))
+    loose = join_spread(p.where(~_key_not_null()), customers, [S.CUSTOMER], "_n_c", F.col(S.SEQ), "left").drop("_n_c")
     v = v.unionByName(loose.select(
         "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in v.schema.fields if f.name not in loose.columns]))
     out = _finish(v, out_cols)

@@ -45,6 +45,37 @@ def join_spread(
     return dealt.join(copies, [*on, "_part"], how).drop("_part")
 
 
+def prefix_sums(df: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
+    """``df`` plus ``name``, the sum of ``value`` (long) over the rows before
+    each, in the order of ``order`` (a total one).
+
+    Rows are range-partitioned and sorted, summed inside each range, and the
+    ranges' totals (one row per partition, the driver's only input) give each
+    range its start; no window sees all rows. The rows are written once.
+    """
+    root = df.sparkSession
+    checkpoint_root(root)
+    work = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    schema = T.StructType([*work.schema.fields, T.StructField("_pid", T.IntegerType()), T.StructField(name, T.LongType())])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pid, so_far = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            v = batch.column(value).to_numpy(zero_copy_only=False).astype(np.int64)
+            upto = np.cumsum(v)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(v), pid), pa.int32()), pa.array(so_far + upto - v)],
+                                             names=[f.name for f in schema.fields])
+            so_far += int(v.sum())
+
+    done = work.mapInArrow(add, schema).checkpoint(eager=True)
+    starts, so_far = [], 0
+    for r in done.groupBy("_pid").agg(F.sum(value).alias("v")).orderBy("_pid").collect():
+        starts.append((r["_pid"], so_far))
+        so_far += r["v"] or 0
+    begin = root.createDataFrame(starts, "_pid int, _start long")
+    return done.join(F.broadcast(begin), "_pid").withColumn(name, F.col(name) + F.col("_start")).drop("_pid", "_start")
+
+
 def ranked(df: DataFrame, group: list[str], order: list[str], name: str = "rank") -> DataFrame:
     """``df`` plus each row's 1-based place (``name``, long) in its group, in
     ascending order (NULLs first), ties in any order.

@@ -305,6 +305,40 @@ def scaled_features_sql() -> str:
     return scaler_cte() + " SELECT mx.seq, " + ", ".join(cols) + " FROM mx " + " ".join(joins)
 
 
+def rule_models_cte(head: str) -> str:
+    """After ``head`` (which defines mx and sc), xs: each row's scaled features
+    as a list; fs: its forest score; es: its reconstruction error; cfg: the
+    threshold. The models' parameters follow the rules of
+    ``plans.queries.rule_forest`` and ``rule_autoencoder``."""
+    from acctsentry.operators.autoencoder import layer_dims
+    from acctsentry.plans.queries import RULE_DEPTH, RULE_OFFSET, RULE_PSI, RULE_TREES
+
+    feats = _model_features()
+    sql = head + ", xs AS (SELECT mx.seq, [" + ", ".join(f"(mx.{f} - m[{i + 1}]) / s[{i + 1}]" for i, f in enumerate(feats)) + (
+        "] AS x FROM mx, (SELECT list(mean ORDER BY position) AS m, list(scale ORDER BY position) AS s FROM sc))")
+    sql += f", walk0 AS (SELECT seq, x, t, 0 AS i FROM xs, range(0, {RULE_TREES}) r(t))"
+    for d in range(RULE_DEPTH):
+        sql += (f", walk{d + 1} AS (SELECT seq, x, t, CASE WHEN x[(t * 7 + i * 5) % {len(feats)} + 1] <= ((t * 13 + i * 17) % 21 - 10) / 10.0::DOUBLE + 0.037"
+                f" THEN 2 * i + 1 ELSE 2 * i + 2 END AS i FROM walk{d})")
+    c = lambda n: f"(CASE WHEN {n} > 2 THEN 2.0 * (ln({n} - 1.0) + 0.5772156649015329) - 2.0 * ({n} - 1.0) / {n} WHEN {n} = 2 THEN 1.0 ELSE 0.0 END)"
+    sql += (f", fs AS (SELECT seq, -pow(2.0, -avg({RULE_DEPTH} + {c('(1 + (t * 3 + i * 11) % 9)')}) / {c(str(float(RULE_PSI)))}) - ({RULE_OFFSET}) AS score"
+            f" FROM walk{RULE_DEPTH} GROUP BY seq)")
+    dims, bn = layer_dims(len(feats))
+    sql += ", h0 AS (SELECT seq, x AS h FROM xs)"
+    for i in range(len(dims) - 1):
+        z = "list_inner_product(h, w) + b"
+        a = z if i == len(dims) - 2 else f"greatest({z}, 0.0)"
+        if bn[i]:
+            a = f"(1 + (c * 7 + {i}) % 5 / 10.0::DOUBLE) * ({a} - ((c * 5 + {i}) % 9 - 4) / 10.0::DOUBLE) / sqrt(1 + (c * 11 + {i}) % 4 / 4.0::DOUBLE + 0.001) + ((c * 3 + {i}) % 7 - 3) / 10.0::DOUBLE"
+        sql += (f", w{i} AS (SELECT c, [((r * 37 + c * 61 + {i * 13}) % 101 - 50) / 400.0::DOUBLE for r in range(0, {dims[i]})] AS w,"
+                f" ((c * 17 + {i}) % 11 - 5) / 100.0::DOUBLE AS b FROM range(0, {dims[i + 1]}) q(c))"
+                f", h{i + 1} AS (SELECT seq, list({a} ORDER BY c) AS h FROM h{i}, w{i} GROUP BY seq)")
+    last = len(dims) - 1
+    sql += (f", es AS (SELECT seq, list_avg([(p[1] - p[2]) ** 2 for p in list_zip(x, h)]) AS err FROM xs JOIN h{last} USING (seq))"
+            ", cfg AS (SELECT avg(err) + 3 * stddev_pop(err) AS thr FROM es)")
+    return sql
+
+
 RULES_CTE = """, rules AS (
   SELECT f.*,
     greatest(user_avg_amount + COALESCE(CASE TransferType WHEN 'S' THEN 2.0 WHEN 'Q' THEN 2.5 WHEN 'L' THEN 3.0
@@ -422,6 +456,7 @@ def queries_sql() -> dict[str, str]:
         q[name] = feature_select(view, ["seq", *cols])
     q["feature_table"] = feature_select("events", FEATURE_TABLE_COLS)
     q["feature_table_lineitem"] = feature_select("lineitem", FEATURE_TABLE_COLS)
+    q["feature_table_stored"] = q["feature_table"]
     q["account_profile"] = ACCOUNT_PROFILE + """
 SELECT CustomerId, FromAccountNo, round(user_avg_amount, 6) AS user_avg_amount,
   round(user_max_amount, 6) AS user_max_amount, CAST(user_txn_frequency AS BIGINT) AS user_txn_frequency,
@@ -492,6 +527,17 @@ GROUP BY CustomerID, FromAccountNo"""
         " SELECT CAST(position AS INTEGER) AS position, feature, round(mean, 6) AS mean, round(scale, 6) AS scale FROM sc"
     )
     q["scaled_features"] = scaled_features_sql()
+    models = rule_models_cte(scaler_cte())
+    q["iforest_rule_scores"] = models + (
+        " SELECT seq, round(score, 6) AS anomaly_score, CAST(CASE WHEN score < 0 THEN -1 ELSE 1 END AS INTEGER) AS prediction,"
+        " score < 0 AS is_anomaly FROM fs")
+    q["ae_rule_scores"] = models + (
+        " SELECT seq, round(err, 6) AS reconstruction_error, round(thr, 6) AS threshold, err > thr AS is_anomaly FROM es, cfg")
+    q["hybrid_rule_decisions"] = rule_models_cte(scaler_cte() + RULES_CTE) + (
+        " SELECT seq, len(reasons) > 0 OR score < 0 OR err > thr AS is_fraud,"
+        " CAST(len(reasons) + (score < 0)::INT + (err > thr)::INT AS BIGINT) AS n_reasons, round(-score, 6) AS risk_score,"
+        " round(threshold, 6) AS threshold, score < 0 AS ml_flag, err > thr AS ae_flag, round(err, 6) AS ae_reconstruction_error,"
+        " round(thr, 6) AS ae_threshold FROM rules2 JOIN fs USING (seq) JOIN es USING (seq), cfg")
     approved = """
 WITH src AS (""" + TXN_EVENTS + """),
 b AS (SELECT seq, CustomerId, FromAccountNo, epoch_us(CreateDate) AS us, COALESCE(AmountInAed, 0.0) AS amt,
@@ -588,7 +634,7 @@ FROM t, m WHERE NOT has AND us + w * 1000000 < mark"""
 WHERE s.CreateDate >= c.since"""
     zero = ["prediction_is_not_sign", "risk_is_not_negated", "ml_flag_is_wrong", "ae_flag_is_wrong", "fraud_is_not_or_of_legs",
             "reasons_out_of_order", "ml_reason_is_missing", "loaded_scores_differ"]
-    true = ["rate_is_near_contamination", "threshold_is_mean_plus_3_std", "config_is_complete", "ae_validates", "forest_rates_known"]
+    true = ["rate_is_near_contamination", "threshold_is_mean_plus_3_std", "config_is_complete", "ae_validates", "forest_validates", "shifted_sample_is_refused"]
     q["model_checks"] = "SELECT count(*) AS n_rows, " + ", ".join(
         [f"CAST(0 AS BIGINT) AS {c}" for c in zero] + [f"true AS {c}" for c in true]) + " FROM events"
     q["iforest_report"] = (

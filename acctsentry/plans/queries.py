@@ -71,7 +71,7 @@ def q_row_features(spark, sf):
 
 
 def q_channel_codes(spark, sf):
-    return FE.channel_codes(S.conform(_lineitem(spark, sf)))
+    return FE.channel_codes(S.conform(_lineitem(spark, sf))).drop("_rows")
 
 
 def q_account_stats(spark, sf):
@@ -91,7 +91,10 @@ def q_customer_stats(spark, sf):
 
 
 def _feature_cols(spark, sf, view, cols):
-    ft = _features(spark, sf, view)
+    return _rounded_features(_features(spark, sf, view), cols)
+
+
+def _rounded_features(ft, cols):
     out = []
     for c in cols:
         if c in S.COUNT_FEATURES or c in S.FLAG_FEATURES or c in ("seq", "num_accounts", "last_txn_time"):
@@ -306,6 +309,83 @@ def _decided(spark, sf):
     return scored, decide(scored), scaler, scaled, forest, ae
 
 
+#: Parameters of the fixed models: made by a rule, so that SQL can make them too.
+RULE_TREES, RULE_DEPTH, RULE_PSI, RULE_OFFSET = 8, 4, 64, -0.57
+
+
+def rule_forest():
+    """A forest whose complete trees follow a rule (M3-M5 by value)."""
+    import pandas as pd
+
+    from acctsentry.operators import iforest as IF
+
+    inner, rows = 2**RULE_DEPTH - 1, []
+    for t in range(RULE_TREES):
+        for i in range(2 * inner + 1):
+            leaf = i >= inner
+            rows.append((t, i, -1 if leaf else (t * 7 + i * 5) % len(S.MODEL_FEATURES), ((t * 13 + i * 17) % 21 - 10) / 10 + 0.037,
+                         2 * i + 1, 2 * i + 2, 1 + (t * 3 + i * 11) % 9, (i + 1).bit_length() - 1))
+    nodes = pd.DataFrame(rows, columns=IF.NODE_SCHEMA.names)
+    return IF.Forest(nodes, list(S.MODEL_FEATURES), RULE_PSI, RULE_OFFSET, S.IFOREST_CONTAMINATION, RULE_TREES, 0)
+
+
+def rule_autoencoder():
+    """An autoencoder whose weights follow a rule (M7-M8 by value)."""
+    import numpy as np
+
+    from acctsentry.operators import autoencoder as AE
+
+    dims, bn = AE.layer_dims(len(S.MODEL_FEATURES))
+    p = {}
+    for i in range(len(dims) - 1):
+        r, c = np.arange(dims[i])[:, None], np.arange(dims[i + 1])
+        p[f"W{i}"] = ((r * 37 + c * 61 + i * 13) % 101 - 50) / 400.0
+        p[f"b{i}"] = ((c * 17 + i) % 11 - 5) / 100.0
+        if bn[i]:
+            p[f"g{i}"] = 1 + (c * 7 + i) % 5 / 10.0
+            p[f"be{i}"] = ((c * 3 + i) % 7 - 3) / 10.0
+            p[f"mm{i}"] = ((c * 5 + i) % 9 - 4) / 10.0
+            p[f"mv{i}"] = 1 + (c * 11 + i) % 4 / 4.0
+    return AE.Autoencoder(p, list(S.MODEL_FEATURES))
+
+
+def q_iforest_rule_scores(spark, sf):
+    """The scaled rows scored by a forest that SQL knows."""
+    from acctsentry.operators import iforest as IF
+    from acctsentry.operators.scaler import apply_scaler, fit_scaler
+
+    m = _matrix(spark, sf).checkpoint(eager=True)
+    scored = IF.score_iforest(apply_scaler(m, fit_scaler(m)), rule_forest(), keep=[S.SEQ])
+    return scored.select(S.SEQ, r6("anomaly_score"), "prediction", "is_anomaly")
+
+
+def q_ae_rule_scores(spark, sf):
+    """Errors, threshold and flags of an autoencoder that SQL knows."""
+    from acctsentry.operators import autoencoder as AE
+    from acctsentry.operators.scaler import apply_scaler, fit_scaler
+
+    m = _matrix(spark, sf).checkpoint(eager=True)
+    errors = AE.score_errors(apply_scaler(m, fit_scaler(m)), rule_autoencoder(), keep=[S.SEQ]).checkpoint(eager=True)
+    return AE.score_autoencoder(errors, AE.compute_threshold(errors)["threshold"]).select(
+        S.SEQ, r6("reconstruction_error"), r6("threshold"), "is_anomaly")
+
+
+def q_hybrid_rule_decisions(spark, sf):
+    """H1-H6: rules and both models, whose parameters SQL knows, decide every row."""
+    from acctsentry.operators import autoencoder as AE
+    from acctsentry.operators.decision import decide, score_models
+    from acctsentry.operators.scaler import apply_scaler, fit_scaler
+
+    rules = _rule_rows(spark, sf).select(S.SEQ, "violated", "reasons", "threshold", *S.MODEL_FEATURES).checkpoint(eager=True)
+    matrix = FE.model_matrix(rules)
+    scaler, ae = fit_scaler(matrix).checkpoint(eager=True), rule_autoencoder()
+    ae.threshold = AE.compute_threshold(AE.score_errors(apply_scaler(matrix, scaler), ae, keep=[S.SEQ]))["threshold"]
+    out = decide(score_models(rules, scaler, rule_forest(), ae))
+    return out.select(
+        S.SEQ, "is_fraud", F.size("reasons").cast("long").alias("n_reasons"), r6("risk_score"), r6("threshold"), "ml_flag", "ae_flag",
+        r6("ae_reconstruction_error"), r6("ae_threshold"))
+
+
 def q_hybrid_decisions(spark, sf):
     out = _decided(spark, sf)[1]
     return out.select(
@@ -358,13 +438,19 @@ def q_model_checks(spark, sf):
     first = scored.orderBy(S.SEQ).limit(1000)
     mean = first.agg(F.avg("reconstruction_error")).first()[0]
     off = AE.validate_autoencoder(spark, f"{path}/ae", scaled, mean)
-    rate = scored.agg(F.avg((F.col("prediction") == -1).cast("double"))).first()[0]
-    sample_rate = first.agg(F.avg((F.col("prediction") == -1).cast("double"))).first()[0]
+    rate = first.agg(F.avg((F.col("prediction") == -1).cast("double"))).first()[0]
+    sample_rate = IF.validate_iforest(scored, rate)
+    try:  # a sample that has shifted is refused
+        IF.validate_iforest(scored.withColumn("prediction", F.when(F.col(S.SEQ) % 10 < 3, -1).otherwise(F.col("prediction"))), rate)
+        shifted_is_refused = False
+    except ValueError:
+        shifted_is_refused = True
     return out.withColumns({
         "threshold_is_mean_plus_3_std": F.lit(abs(ae.threshold - want_threshold) <= 1e-9 * abs(want_threshold)),
         "config_is_complete": F.lit(set(ae.threshold_cfg) == {"threshold", "mean", "std", "k", "computed_at", "n_samples", "n_features"}),
         "ae_validates": F.lit(off <= 0.01),
-        "forest_rates_known": F.lit(0.0 <= sample_rate <= 1.0 and 0.0 < rate < 0.1),
+        "forest_validates": F.lit(sample_rate == rate),
+        "shifted_sample_is_refused": F.lit(shifted_is_refused),
     })
 
 
@@ -576,6 +662,18 @@ def q_feature_table(spark, sf):
     return _feature_cols(spark, sf, "events", FEATURE_TABLE_COLS)
 
 
+def q_feature_table_stored(spark, sf):
+    """The feature table written in two versions, and read back past a path that isn't there."""
+    from acctsentry.session import scratch_path
+    from acctsentry.sources.transactions import read_feature_table, write_feature_table
+
+    path = scratch_path(spark, "features")
+    table = _features(spark, sf, "events").checkpoint(eager=True)
+    write_feature_table(table.limit(10), path)
+    write_feature_table(table, path)
+    return _rounded_features(read_feature_table(spark, scratch_path(spark, "none"), path), FEATURE_TABLE_COLS)
+
+
 def q_feature_table_lineitem(spark, sf):
     return _feature_cols(spark, sf, "lineitem", FEATURE_TABLE_COLS)
 
@@ -590,6 +688,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decision_log_csv": q_decision_log_csv,
     "feature_table": q_feature_table,
     "feature_table_lineitem": q_feature_table_lineitem,
+    "feature_table_stored": q_feature_table_stored,
     **{f"feature_table_{view}": _make_feature_query(view, FEATURE_TABLE_COLS[1:]) for view in ("dirty", "keyless", "dateless")},
     "rule_decisions_dirty": q_rule_decisions_dirty,
     "profile_dirty": q_profile_dirty,
@@ -614,6 +713,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_checks": q_model_checks,
     "missing_features": q_missing_features,
     "live_decisions": q_live_decisions,
+    "iforest_rule_scores": q_iforest_rule_scores,
+    "ae_rule_scores": q_ae_rule_scores,
+    "hybrid_rule_decisions": q_hybrid_rule_decisions,
     "decision_log_stream": q_decision_log_stream,
     "live_verdicts": q_live_verdicts,
     "live_resumed": q_live_resumed,

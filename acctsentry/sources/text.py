@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from acctsentry.operators.skew import prefix_sums
+
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """A CSV with header, all columns as text, named as the header names them.
@@ -22,18 +24,18 @@ def numbered_in_file_order(df: DataFrame, name: str) -> DataFrame:
     """``df``, straight from files, with a row number from 1 in the order of
     (file, place in the file).
 
-    Rows are numbered inside each file split; the splits' row counts (one row
-    per split, a number that the split size bounds) give the offsets.
+    Rows are numbered inside each file split; sums over the splits' row counts
+    (one row per split) give the offsets. Their join is broadcast only if Spark
+    finds the counts small enough; a split's rows are one key otherwise.
     """
     tagged = df.withColumns({
         "_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"),
         "_mid": F.monotonically_increasing_id()})
     splits = tagged.groupBy("_file", "_block").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = splits.select(
-        "_file", "_block", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    starts = prefix_sums(splits, ["_file", "_block"], "_n", "_before").select(
+        "_file", "_block", (F.col("_before") - F.col("_first") + 1).alias("_shift"))
     return (
-        tagged.join(F.broadcast(starts), ["_file", "_block"])
+        tagged.join(starts, ["_file", "_block"])
         .withColumn(name, (F.col("_mid") + F.col("_shift")).cast("long"))
         .drop("_file", "_block", "_mid", "_shift")
     )

@@ -7,11 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctsentry import schema as S
+from acctsentry.sources.commits import MISSING, current, replace_table
 from acctsentry.sources.text import numbered_in_file_order, read_csv_text
 
-#: Error conditions of a path that isn't there (all else is raised).
-MISSING = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
-
 
 def read_transactions(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
     """Raw transfers from CSV (columns by header name) or parquet.
@@ -27,10 +25,14 @@ def read_transactions(spark: SparkSession, path: str, fmt: str | None = None) ->
 
 
 def read_feature_table(spark: SparkSession, *paths: str) -> DataFrame:
-    """The first path that exists, typed as the feature table is; none:
+    """The first path that exists, typed as the feature table is (the
+    latest version of one that ``write_feature_table`` wrote); none:
     AnalysisException. Any other failure of a read is raised as it is."""
     errors = []
-    for p in paths:
+    for path in paths:
+        p = current(spark, path) or path
+        if path.endswith(".csv") and p != path:
+            return typed_features(read_csv_text(spark, p))
         try:
             return typed_features(read_csv_text(spark, p)) if p.endswith(".csv") else spark.read.parquet(p)
         except AnalysisException as e:
@@ -56,5 +58,6 @@ def typed_features(text: DataFrame) -> DataFrame:
 
 
 def write_feature_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """S3: overwrite."""
-    df.write.mode("overwrite").format(fmt).option("header", True).save(path)
+    """S3: the table's next version. Readers see it when it is whole; a write
+    that fails leaves the one before."""
+    replace_table(df, path, fmt)

@@ -175,3 +175,29 @@ def test_feature_table_matches_oracle_sf0001(spark):
 def test_model_matrix_has_43_features(spark):
     m = FE.model_matrix(FE.feature_table(rows_df(spark, [base(1), base(2)])))
     assert m.columns == ["seq", *S.MODEL_FEATURES] and len(S.MODEL_FEATURES) == 43
+
+
+def test_hot_day_is_cut_into_hours(spark, monkeypatch):
+    """An account with very many rows on one day spreads over tasks, and its
+    rows come out as those of the positional loop do."""
+    rng = np.random.default_rng(11)
+    times = [pd.Timestamp("2024-03-04 23:30:00") + pd.Timedelta(seconds=int(s)) for s in np.sort(rng.integers(0, 26 * 3600, 900))]
+    rows = [{"seq": str(i), "CustomerId": "1", "FromAccountNo": "10", "ReceipentAccount": f"b{i % 7}", "AmountInAed": str(i % 13 * 10.0),
+             "TransferType": "S", "ChannelId": "C", "BankCountry": "B", "CreateDate": str(t)} for i, t in enumerate(times)]
+    rows += [dict(r, seq=str(2000 + k), FromAccountNo="20", CreateDate=str(pd.Timestamp("2024-03-05") + pd.Timedelta(minutes=37 * k))) for k, r in enumerate(rows[:30])]
+    df = rows_df(spark, [dict(r, seq=int(r["seq"])) for r in rows])
+    plain = FE.feature_table(df).orderBy(S.SEQ).toPandas()
+    monkeypatch.setattr(FE, "HOT_DAY_ROWS", 100)
+    keyed = FE.with_chunks(FE.prepare(df)).checkpoint(eager=True)
+    chunks = keyed.groupBy("FromAccountNo", "_c").count().collect()
+    assert sum(r["FromAccountNo"] == "10" for r in chunks) >= 24 and max(r["count"] for r in chunks) < 120
+    assert sum(r["FromAccountNo"] == "20" for r in chunks) == 1
+    cut = FE.feature_table(df).orderBy(S.SEQ).toPandas()
+    pd.testing.assert_frame_equal(plain, cut, check_exact=False, rtol=1e-12)
+    pdf = pd.DataFrame({"seq": [int(r["seq"]) for r in rows], **{c: [r[c] for r in rows] for c in ("CustomerId", "FromAccountNo", "ReceipentAccount")},
+                        "CreateDate": [pd.Timestamp(r["CreateDate"]) for r in rows], "amt": [float(r["AmountInAed"]) for r in rows]})
+    want = naive_ordered(pdf).sort_values("seq").reset_index(drop=True)
+    for c in ("txn_count_30s", "txn_count_10min", "txn_count_1hour", "time_since_last", "rolling_std"):
+        assert np.allclose(cut[c].astype(float), want[c].astype(float)), c
+    before = pdf.sort_values(["FromAccountNo", "CreateDate", "seq"]).groupby("FromAccountNo")["amt"].transform(lambda a: a.cumsum() - a)
+    assert np.allclose(cut["month_spending_before"], before.loc[pdf.sort_values("seq").index])

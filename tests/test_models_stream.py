@@ -255,3 +255,15 @@ def test_rejected_rows_do_not_change_state(spark):
     assert out[2]["live_time_since_last"] == 3600.0 and out[3]["live_time_since_last"] == 60.0
     # an approved row exactly 600 s before is outside the strict 10-minute window
     assert out[6]["live_txn_count_10min"] == 1 and out[6]["live_txn_count_1hour"] == 2
+
+
+def test_many_workers_are_averaged_in_levels(spark, scaled, monkeypatch):
+    """More workers than one task averages: the same weights up to the order of sums."""
+    some = scaled.where(F.col(S.SEQ) <= 2000).checkpoint(eager=True)
+    levels = AE.train_autoencoder(some, epochs=1, passes=1, workers=40)
+    monkeypatch.setattr(AE, "FAN", 64)
+    once = AE.train_autoencoder(some, epochs=1, passes=1, workers=40)
+    assert all(np.allclose(levels.params[k], once.params[k], rtol=1e-9, atol=1e-12) for k in once.params)
+    monkeypatch.setattr(AE, "WORKER_ROWS", 100)
+    grown = AE.train_autoencoder(some, epochs=1, passes=1)
+    assert len(grown.history) == 1 and all(np.isfinite(a).all() for a in grown.params.values())
