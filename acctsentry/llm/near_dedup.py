@@ -35,7 +35,9 @@ MISS = 1e-6
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 1024
 #: Pairs that a task compares (about): their number, not their bytes, is what takes time.
-PAIRS = 1 << 22
+PAIRS = 1 << 18
+#: Parts that the members of a smaller group are dealt in, if these have ``PART`` members.
+PARTS, PART = 4, 256
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _MUL = _rng.integers(0, 1 << 31, REGISTERS, np.uint32) * np.uint32(2) + np.uint32(1)
@@ -222,16 +224,18 @@ def dealt_out(members: DataFrame) -> tuple[DataFrame, int]:
 
     ``members``: group, node, comp. The members of a group's largest component
     need not be compared with one another, so only the others ("strays") are,
-    with all. Both sides are dealt in blocks of ``BLOCK`` by a hash; a task
+    with all. Both sides are dealt in blocks of ``BLOCK`` at most by a hash; a task
     gets blocks of members and strays (columns m and s), whatever the group's
     size. Also returns how many tasks the pairs are to be dealt to.
     """
     sizes = members.groupBy("group", "comp").agg(F.count(F.lit(1)).alias("c"))
+    def blocks(n: Column) -> Column:
+        return F.greatest(F.ceil(n / BLOCK), F.least(F.lit(PARTS), F.ceil(n / PART))).cast("int")
+
     groups = written(sizes.groupBy("group").agg(
         F.max(F.struct("c", "comp"))["comp"].alias("major"), F.sum("c").alias("members"), F.max("c").alias("most"),
     ).where("members > most").select(
-        "group", "major", "members", F.ceil(F.col("members") / BLOCK).cast("int").alias("mb"),
-        F.ceil((F.col("members") - F.col("most")) / BLOCK).cast("int").alias("sb"),
+        "group", "major", "members", blocks(F.col("members")).alias("mb"), blocks(F.col("members") - F.col("most")).alias("sb"),
         (F.col("members") * (F.col("members") - F.col("most"))).alias("pairs")))
     work = groups.agg(F.sum("pairs"), F.sum(F.col("mb") * F.col("sb").cast("long"))).first()
     tasks = max(1, min(-(-(work[0] or 0) // PAIRS), work[1] or 0))
