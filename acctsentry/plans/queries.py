@@ -475,6 +475,8 @@ def q_approved_velocity(spark, sf):
 
 #: Batches that the live replay comes in at least (a fifth of the rows comes one late), and rows of one.
 LIVE_BATCHES, LIVE_BATCH_ROWS = 4, 1_000_000
+#: Rows of the replay for one more state partition.
+LIVE_PARTITION_ROWS = 100_000
 
 
 def _live_slices(txn: DataFrame):
@@ -503,11 +505,17 @@ def _replayed(spark, rows: DataFrame, batches: int, run) -> str:
     root = scratch_path(spark, "live")
     whole = rows.checkpoint(eager=True)
     plain = whole.drop("_batch")
-    for k in range(batches):
-        whole.where(F.col("_batch") == k).drop("_batch").write.parquet(f"{root}/in/{k}")
-        dropped = run(L.transfers_stream(spark, f"{root}/in", plain.schema, files=None), root)
-        if dropped:
-            raise ValueError(f"{dropped} rows came behind the watermark")
+    # A stream keeps the number of state partitions that it begins with: it follows from the rows.
+    had, wanted = spark.conf.get("spark.sql.shuffle.partitions"), max(4, -(-whole.count() // LIVE_PARTITION_ROWS))
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(had), wanted)))
+    try:
+        for k in range(batches):
+            whole.where(F.col("_batch") == k).drop("_batch").write.parquet(f"{root}/in/{k}")
+            dropped = run(L.transfers_stream(spark, f"{root}/in", plain.schema, files=None), root)
+            if dropped:
+                raise ValueError(f"{dropped} rows came behind the watermark")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", had)
     return root
 
 
@@ -532,7 +540,7 @@ def q_live_stream(spark, sf):
     )
 
 
-def _decided_stream(spark, sf) -> DataFrame:
+def _decided_stream(spark, sf, models=(None, None, None)) -> DataFrame:
     """The replay decided inside the stream, with the profile and the
     months of the table's first half as versioned tables that each batch reads."""
     from acctsentry.session import scratch_path
@@ -548,7 +556,7 @@ def _decided_stream(spark, sf) -> DataFrame:
     rows = txn.withColumn("_batch", arrives(F.col(S.CREATED), F.col(S.SEQ) % 5 == 0))
     root = _replayed(spark, rows, batches, lambda stream, root: L.decisions_to_log(
         L.live_state_stream(stream, f"{2 * width} seconds"), f"{root}/log", f"{root}/ckpt",
-        lambda: read_table(spark, f"{tables}/profile"), lambda: read_table(spark, f"{tables}/months")))
+        lambda: read_table(spark, f"{tables}/profile"), lambda: read_table(spark, f"{tables}/months"), lambda: models))
     return L.read_decided(spark, f"{root}/log")
 
 
@@ -558,6 +566,36 @@ def q_live_decisions(spark, sf):
         S.SEQ, "is_fraud", F.size("reasons").cast("long").alias("n_reasons"), r6("threshold"), r6("current_month_spending"))
 
 
+def q_live_hybrid(spark, sf):
+    """T6/H5 with all legs: what the stream has decided with both models, next
+    to the batch decision of the same live rows. Counts of rows, of those
+    that both models scored, and of those that differ."""
+    from acctsentry.operators import autoencoder as AE
+    from acctsentry.operators.scaler import apply_scaler, fit_scaler
+    from acctsentry.streaming import live as L
+
+    matrix = _matrix(spark, sf).checkpoint(eager=True)
+    scaler, forest, ae = fit_scaler(matrix).checkpoint(eager=True), rule_forest(), rule_autoencoder()
+    ae.threshold = AE.compute_threshold(AE.score_errors(apply_scaler(matrix, scaler), ae, keep=[S.SEQ]))["threshold"]
+    streamed = _decided_stream(spark, sf, (scaler, forest, ae)).checkpoint(eager=True)
+    stored = _events(spark, sf).where(F.col(S.SEQ) % 2 == 0)
+    live = streamed.select(*[f.name for f in L.LIVE_COLUMNS if f.name != "late"], F.lit(False).alias("late"))
+    batch = L.live_decisions(live, PR.account_profile(stored), PR.month_totals(stored), scaler, forest, ae)
+    legs = ["is_fraud", "reasons", "risk_score", "threshold", "ml_flag", "ae_flag", "ae_reconstruction_error"]
+
+    def near(c: str) -> F.Column:
+        a, b = F.col(f"s.{c}"), F.col(f"b.{c}")
+        return F.abs(a - b) <= 1e-9 * (1 + F.abs(b)) if dict(streamed.dtypes)[c] == "double" else a == b
+
+    both = streamed.alias("s").join(batch.select(S.SEQ, *legs).alias("b"), S.SEQ)
+    same = F.lit(True)
+    for c in legs:
+        same = same & near(c)
+    return both.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.col("s.risk_score") != 0, F.col("s.ae_reconstruction_error"))).alias("n_scored"),
+        F.count_if(~F.coalesce(same, F.lit(False))).alias("n_differ"))
+
+
 def q_decision_log_stream(spark, sf):
     """The log that the stream has committed."""
     from acctsentry.streaming.live import log_rows
@@ -717,6 +755,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ae_rule_scores": q_ae_rule_scores,
     "hybrid_rule_decisions": q_hybrid_rule_decisions,
     "decision_log_stream": q_decision_log_stream,
+    "live_hybrid": q_live_hybrid,
     "live_verdicts": q_live_verdicts,
     "live_resumed": q_live_resumed,
 }

@@ -14,7 +14,7 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from acctsentry.session import get_spark
 
-    s = get_spark("local[4]", app="acctsentry-tests", **{"spark.sql.shuffle.partitions": "8"})
+    s = get_spark("local[4]", app="acctsentry-tests", **{"spark.sql.shuffle.partitions": "4"})
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="acctsentry-test-ckpt-"))
