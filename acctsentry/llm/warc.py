@@ -75,12 +75,15 @@ def record(page: int | None, url: str | None, payload: bytes, digest: str, origi
 
 
 def train(records: list[bytes]) -> bytes:
-    """A dictionary of some first records; too few to train on give none."""
-    samples = [r[:8192] for r in records]
+    """A dictionary of some first records, cut into pieces so that a few long
+    ones give enough to train on too; less than some 2,000 bytes give none."""
+    total = sum(min(len(r), SAMPLE_BYTES) for r in records)
+    piece = max(128, min(8192, total // 64))
+    samples = [r[i : i + piece] for r in records for i in range(0, min(len(r), SAMPLE_BYTES), piece)]
     if len(samples) < 16:
         return b""
     try:
-        return zstd.train_dictionary(DICT_BYTES, samples, k=256, d=8, level=3).as_bytes()
+        return zstd.train_dictionary(max(512, min(DICT_BYTES, total // 8)), samples, k=64, d=8, level=3).as_bytes()
     except zstd.ZstdError:
         return b""
 
