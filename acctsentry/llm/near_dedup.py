@@ -258,8 +258,15 @@ def compared(members: DataFrame, values: DataFrame, compare: Callable[[pd.DataFr
     members with their ``values``, tasks taking blocks by number of pairs."""
     node = dict(members.dtypes)["node"]
     rows, tasks = dealt_out(members)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = compare(pdf)
+        if len(pdf) >= PART:  # what a large block took goes back before the worker waits for others
+            A.give_back()
+        return out
+
     return (rows.join(values, "node").repartition(tasks, "group", "m", "s").groupBy("group", "m", "s")
-            .applyInPandas(compare, f"a {node}, b {node}").distinct())
+            .applyInPandas(run, f"a {node}, b {node}").distinct())
 
 
 def links_inside(members: DataFrame, sets: DataFrame, share: float) -> DataFrame:
