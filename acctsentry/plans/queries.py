@@ -476,7 +476,7 @@ def q_approved_velocity(spark, sf):
 #: Batches that the live replay comes in at least (a fifth of the rows comes one late), and rows of one.
 LIVE_BATCHES, LIVE_BATCH_ROWS = 4, 1_000_000
 #: Rows of the replay for one more state partition.
-LIVE_PARTITION_ROWS = 100_000
+LIVE_PARTITION_ROWS = 10_000
 
 
 def _live_slices(txn: DataFrame):
