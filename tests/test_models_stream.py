@@ -267,3 +267,51 @@ def test_many_workers_are_averaged_in_levels(spark, scaled, monkeypatch):
     monkeypatch.setattr(AE, "WORKER_ROWS", 100)
     grown = AE.train_autoencoder(some, epochs=1, passes=1)
     assert len(grown.history) == 1 and all(np.isfinite(a).all() for a in grown.params.values())
+
+
+def test_training_step_is_that_of_the_passes():
+    """The fused step gives, to the bit, what forward, backward and Adam give one after the other."""
+    from acctsentry.operators import autoencoder as AE
+
+    X = np.random.default_rng(1).normal(size=(150, 43))
+    got, want = AE.init_params(43, 3), AE.init_params(43, 3)
+    zeros = [{k: np.zeros_like(a) for k, a in got.items() if AE._is_trainable(k)} for _ in range(4)]
+    assert AE.train_epoch(got, zeros[0], zeros[1], 0, X, 64, np.random.default_rng(2)) == 3
+    order, m, v, t = np.random.default_rng(2).permutation(len(X)), zeros[2], zeros[3], 0
+    for start in range(0, len(X), 64):
+        xb = X[order[start:start + 64]]
+        out, cache, stats = AE.forward(want, xb, training=True)
+        grads, t = AE.backward(want, cache, 2.0 * (out - xb) / xb.size), t + 1
+        for k, g in grads.items():
+            m[k] = 0.9 * m[k] + (1 - 0.9) * g
+            v[k] = 0.999 * v[k] + (1 - 0.999) * g * g
+            want[k] -= 1e-3 * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-7)
+        for i, (mu, var) in stats.items():
+            want[f"mm{i}"] = AE.BN_MOMENTUM * want[f"mm{i}"] + (1 - AE.BN_MOMENTUM) * mu
+            want[f"mv{i}"] = AE.BN_MOMENTUM * want[f"mv{i}"] + (1 - AE.BN_MOMENTUM) * var
+    assert got.keys() == want.keys() and all(np.array_equal(got[k], want[k]) for k in want)
+
+
+def test_each_worker_has_a_partition(spark):
+    """Workers are dealt one to a partition: a hash of their numbers gives some tasks several and others none."""
+    from acctsentry.operators import autoencoder as AE
+
+    rows = spark.range(400).select(F.col("id").alias("seq"), (F.col("id") % 16).cast("int").alias("_worker"))
+    dealt = AE.dealt(rows, 16).select("_worker", F.spark_partition_id().alias("p")).distinct()
+    assert dealt.count() == 16 and dealt.select("p").distinct().count() == 16
+
+
+def test_path_lengths_of_a_walk():
+    """The gathers end where a walk from the root ends."""
+    from acctsentry.operators import iforest as IF
+    from acctsentry.plans.queries import rule_forest
+
+    forest, X = rule_forest(), np.random.default_rng(4).normal(size=(40, 43))
+    X[0], X[1, :5] = np.inf, np.nan
+    feat, split, left, right, size, depth = arrays = forest.arrays()
+    for x, row in zip(X, IF._path_lengths(X, arrays)):
+        for t, got in enumerate(row):
+            node = 0
+            while feat[t, node] >= 0:
+                node = left[t, node] if x[feat[t, node]] <= split[t, node] else right[t, node]
+            assert got == depth[t, node] + IF.avg_path_length(size[t, node:node + 1])[0]
