@@ -201,3 +201,38 @@ def test_hot_day_is_cut_into_hours(spark, monkeypatch):
         assert np.allclose(cut[c].astype(float), want[c].astype(float)), c
     before = pdf.sort_values(["FromAccountNo", "CreateDate", "seq"]).groupby("FromAccountNo")["amt"].transform(lambda a: a.cumsum() - a)
     assert np.allclose(cut["month_spending_before"], before.loc[pdf.sort_values("seq").index])
+
+
+def test_hot_accounts_in_chunks(spark, monkeypatch):
+    """An account whose rows are dealt over chunks of time has the features of one that a task holds, next to it."""
+    import random
+
+    rnd, rows = random.Random(5), []
+    for i in range(600):
+        at = f"2024-0{rnd.randint(1, 9)}-{rnd.randint(1, 3):02d} {rnd.choice((0, 11, 23))}:{rnd.randint(0, 59):02d}:{rnd.choice((0, 30)):02d}"
+        rows.append({"seq": i, "CustomerId": str(i % 3), "FromAccountNo": str(i % 3 * 10), "AmountInAed": str(rnd.randint(1, 99)),
+                     "ReceipentAccount": rnd.choice((None, "1", "2", "3")), "TransferType": rnd.choice("SQLIO"), "BankCountry": f"B{i % 4}",
+                     "CreateDate": None if i % 50 == 0 else at})
+    rows += rows[:20]  # rows may come twice
+    df = rows_df(spark, [r for r in rows if r["CustomerId"] != "2" or r["seq"] < 30])
+    plain = FE.feature_table(df).orderBy(S.SEQ, "is_new_beneficiary", "time_since_last", "month_spending_before", "rolling_std").toPandas()
+    monkeypatch.setattr(FE, "HOT_ACCOUNT_ROWS", 100)
+    cut = FE.feature_table(df).orderBy(S.SEQ, "is_new_beneficiary", "time_since_last", "month_spending_before", "rolling_std").toPandas()
+    import pandas as pd
+
+    pd.testing.assert_frame_equal(plain, cut, rtol=1e-12, check_dtype=False)
+
+
+def test_one_exchange_of_the_rows(spark):
+    """The rows of accounts that a task can hold are shuffled once, and sorted where they lie."""
+    rows = [{"seq": i, "CustomerId": "1", "FromAccountNo": "10", "AmountInAed": "5", "CreateDate": "2024-01-01 10:00:00"} for i in range(3)]
+    p = FE.prepare_narrow(rows_df(spark, rows))
+    accounts = FE.account_stats(FE.with_row_features(p)).join(FE.customer_stats(p).drop("_n_c"), S.CUSTOMER, "left").checkpoint(eager=True)
+    had = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = FE.account_pass(p.checkpoint(), accounts)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", had)
+    assert plan.count("Exchange hashpartitioning") == 2  # of the rows, and of the accounts that meet them
+    assert "ObjectHashAggregate" not in plan
