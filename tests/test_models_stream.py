@@ -315,3 +315,33 @@ def test_path_lengths_of_a_walk():
             while feat[t, node] >= 0:
                 node = left[t, node] if x[feat[t, node]] <= split[t, node] else right[t, node]
             assert got == depth[t, node] + IF.avg_path_length(size[t, node:node + 1])[0]
+
+
+def test_blocks_hold_each_workers_rows_in_order(spark):
+    """What all rounds read: a worker's rows as bytes, in file order, with the validation rows marked."""
+    rows = spark.range(300).select(
+        F.col("id").alias("seq"), (F.col("id") * 0.5).alias("a"), (-F.col("id")).cast("double").alias("b"), (F.col("id") > 270).alias("_val"),
+        (F.col("id") % 3).cast("int").alias("_worker"))
+    found = AE.blocks(AE.dealt(rows.repartition(5), 3).drop("seq"), ["a", "b"]).collect()
+    for worker in range(3):
+        own = [r for r in found if r.worker == worker]
+        X = np.concatenate([np.frombuffer(r.rows).reshape(-1, 2) for r in own])
+        val = np.concatenate([np.frombuffer(r.val, bool) for r in own])
+        ids = np.arange(worker, 300, 3)
+        assert np.array_equal(X, np.column_stack([ids * 0.5, -1.0 * ids])) and np.array_equal(val, ids > 270)
+    assert len(found) < 10  # not a row each
+
+
+def test_scores_leave_kept_columns_as_they_are(spark):
+    """NULLs, long numbers and lists that are kept beside a score; a feature that is NULL is no number."""
+    import datetime as dt
+
+    rows = spark.createDataFrame(
+        [(2**53 + 1, None, ["a", None], dt.datetime(2024, 1, 1, 1, 2, 3), 1.0), (None, "x", None, None, None)],
+        "id long, name string, list array<string>, at timestamp, f double")
+    keep = ["id", "name", "list", "at"]
+    schema = rows.select(*keep, F.col("f").alias("v"), F.col("f").alias("none")).schema
+    out = IF.with_values(rows, keep, lambda batch: {"v": IF.as_matrix(batch, ["f"])[:, 0] + 1, "none": None}, schema).collect()
+    out.sort(key=lambda r: r.id is None)
+    assert tuple(out[0]) == (2**53 + 1, None, ["a", None], dt.datetime(2024, 1, 1, 1, 2, 3), 2.0, None)
+    assert out[1][:4] == (None, "x", None, None) and np.isnan(out[1].v) and out[1].none is None
